@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.llm import mixing, packing, quality, secrets, tokencount
+from skytrace.llm import mixing, neardup, packing, quality, secrets, tokencount
 from skytrace.llm.common import materialise, table
 
 
@@ -42,8 +42,13 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs).withColumn("base_sha256", F.sha2("base_spans", 256)).drop("text", "base_spans")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", neardup.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_mixing, op6_token_counts, op7_quality_rules, op8_secret_scans]
+    found = [op1_packing, op2_mixing, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
