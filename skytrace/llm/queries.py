@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.llm import mixing, neardup, packing, quality, secrets, tokencount
+from skytrace.llm import fingerprints, mixing, neardup, packing, quality, secrets, tokencount
 from skytrace.llm.common import materialise, table
 
 
@@ -27,6 +27,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(light).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencount.count_tokens(docs, tokenizer_path("piece_bpe_32k.model")).drop("text")
@@ -48,7 +52,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_mixing, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup]
+    found = [op1_packing, op2_mixing, op3_document_fingerprints, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
