@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.llm import fingerprints, mixing, neardup, packing, quality, secrets, tokencount
+from skytrace.llm import fingerprints, hmm, mixing, neardup, packing, quality, secrets, tokencount
 from skytrace.llm.common import materialise, table
 
 
@@ -51,8 +51,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", neardup.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_mixing, op3_document_fingerprints, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup]
+    found = [op1_packing, op2_mixing, op3_document_fingerprints, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup, op10_lm_scoring]
     return {f.__name__: f for f in found}
 
 
