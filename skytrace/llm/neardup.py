@@ -29,7 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from skytrace.llm import textbatch as tb
 from skytrace.llm.common import materialise, prepare
 from skytrace.llm.components import components
 from skytrace.llm.hamming import STORED, segments, sharded
@@ -245,3 +247,156 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
 
 def hex_fingerprint(column: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+@dataclass(frozen=True)
+class DedupParams:
+    """Removal of near copies: shingle sets at least ``similarity`` alike (Jaccard)."""
+
+    shingle: int = 5
+    similarity: float = 0.8
+    #: Fingerprints of 256 bits; two texts that are 0.8 alike differ in 39 of them, 5.7 more or less.
+    radius: int = 62
+    #: Tables of buckets, each keyed by two minima over the shingle set: a pair that is 0.8 alike misses all with chance 1e-5.
+    tables: int = 11
+    shard_rows: int = 1024
+
+
+def shingle_sets(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles and their rows; fewer words than a shingle make one of them all."""
+    low = tb.LOWER[data]
+    starts, ends, first = tb.words(low, off)
+    hashes = tb.hash_spans(low, starts, ends - starts, seed=9)
+    grams, row, _ = tb.ngrams(hashes, first, size)
+    count = np.diff(first)
+    few = np.flatnonzero((count > 0) & (count < size))
+    if len(few):
+        whole = np.zeros(len(few), np.uint64)
+        for k in range(size - 1):
+            has = count[few] > k
+            whole[has] = tb.mix(whole[has] * tb.M1 + hashes[first[:-1][few[has]] + k])
+        grams, row = np.concatenate([grams, whole]), np.concatenate([row, few])
+        order = np.argsort(row, kind="stable")
+        grams, row = grams[order], row[order]
+    return grams, row
+
+
+def signatures(rows: DataFrame, params: DedupParams) -> DataFrame:
+    """(k1, k2, doc_id, f0..f3, keys) of each row of ``rows`` (k1, k2, doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, off in slices(batches, "text"):
+            n = batch.num_rows
+            grams, row = shingle_sets(data, off, params.shingle)
+            bounds = np.searchsorted(row, np.arange(n + 1))
+            full = np.flatnonzero(np.diff(bounds))
+            total = np.diff(bounds)[:, None]
+            bits = [pack_bits(2 * bit_sums(tb.mix(grams + np.uint64(s)), row, n) > total) for s in range(1, 5)]
+            keys = np.zeros((n, params.tables), np.uint64)
+            for t in range(2 * params.tables if len(grams) else 0):
+                least = np.minimum.reduceat(tb.mix(grams ^ tb.mix(np.array([t + 77], np.uint64))), bounds[full])
+                keys[full, t // 2] = tb.mix(keys[full, t // 2] * tb.M1 + least)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * params.tables, params.tables), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *(pa.array(b.view(np.int64)) for b in bits), flat], names=["k1", "k2", "doc_id", "f0", "f1", "f2", "f3", "keys"])
+
+    return rows.mapInArrow(run, "k1 long, k2 long, doc_id long, f0 long, f1 long, f2 long, f3 long, keys array<bigint>")
+
+
+def nearest_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Iterator[pa.RecordBatch]:
+    """A minimum spanning forest, by fingerprint distance, of each shard's links within the radius.
+
+    Whatever is connected at any smaller distance is connected by forest edges
+    of at most that distance, in every shard and so in their union.
+    """
+    key, tree = None, BKTree()
+    fp_of: dict[int, int] = {}
+
+    def forest(hits: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        a, b = [], []
+        for _, x, y in sorted(hits):
+            p, q = root(x), root(y)
+            if p != q:
+                parent[p] = q
+                a.append(x)
+                b.append(y)
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    hits: list[tuple[int, int, int]] = []
+    asked = 0
+    for now, role, (*parts, reps) in segments(batches, 5):
+        if now != key or role != STORED and asked >= params.shard_rows:
+            if hits:
+                yield forest(hits)
+            hits, asked = [], 0
+        if now != key:
+            key, tree, fp_of = now, BKTree(), {}
+        words = [p.view(np.uint64).tolist() for p in parts]
+        for w0, w1, w2, w3, rep in zip(*words, reps.tolist()):
+            fp = w0 | w1 << 64 | w2 << 128 | w3 << 192
+            hits += [((fp ^ fp_of[h]).bit_count(), rep, h) for h in tree.within(fp, params.radius) if h != rep]
+            if role == STORED:
+                fp_of[rep] = fp
+                tree.add(fp, rep)
+            else:
+                asked += 1
+                if len(hits) > 1_000_000:
+                    yield forest(hits)
+                    hits = []
+    if hits:
+        yield forest(hits)
+
+
+def verified(docs: DataFrame, links: DataFrame, params: DedupParams) -> DataFrame:
+    """The links whose texts' shingle sets are alike enough, by exact comparison."""
+    ends = materialise(links.select(F.col("a").alias("k1")).unionByName(links.select(F.col("b").alias("k1"))).distinct(), "dedup-ends")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, off in slices(batches, "text"):
+            grams, row = shingle_sets(data, off, params.shingle)
+            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+            sets = [np.unique(grams[a:b]).view(np.int64) for a, b in zip(bounds, bounds[1:])]
+            yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["k1", "set"])
+
+    needed = docs.select("k1", "text").join(ends, "k1", "left_semi").mapInArrow(run, "k1 long, set array<bigint>")
+    sets = materialise(needed.groupBy("k1").agg(F.first("set").alias("set")), "dedup-sets")
+    pairs = links.join(sets.select(F.col("k1").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("k1").alias("b"), F.col("set").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    union = F.size("x") + F.size("y") - common
+    return pairs.where(common >= F.lit(params.similarity) * union).select("a", "b")
+
+
+def deduplicate(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
+    """``docs`` without near copies: of each component the row with the smallest ``doc_id`` stays.
+
+    Ties go to the smaller text hash, and of rows equal in both one stays; a row
+    without id yields to any with one.  Texts without words are copies of each
+    other.  Texts are known by 128 bits of hash, and by 64 inside the link table.
+    """
+    prepare(docs.sparkSession)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumn("k1_", F.xxhash64(text)).withColumn("k2_", F.xxhash64(F.lit(7), text))
+    source = keyed.select(F.col("k1_").alias("k1"), F.col("k2_").alias("k2"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    first_id = F.coalesce(F.min("doc_id"), F.lit((1 << 63) - 1))
+    same = signatures(source, params).groupBy("k1", "k2").agg(first_id.alias("id"), *(F.first(f).alias(f) for f in ("f0", "f1", "f2", "f3", "keys")))
+    classes = materialise(same, "dedup-classes")
+    rows = classes.select(F.posexplode("keys").alias("table", "value"), "f0", "f1", "f2", "f3", F.col("k1").alias("rep"))
+    buckets = sharded(rows, ["f0", "f1", "f2", "f3", "rep"], params.shard_rows)
+    links = materialise(buckets.mapInArrow(lambda batches: nearest_links(batches, params), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "dedup-links")
+    wordless = classes.where(F.col("keys") == F.array_repeat(F.lit(0).cast("long"), params.tables)).select("k1")
+    anchor = wordless.agg(F.min("k1")).first()[0]  # one value
+    blank = wordless.select(F.lit(anchor).cast("long").alias("a"), F.col("k1").alias("b"))
+    found = components(verified(source, links, params).unionByName(blank))
+    placed = classes.select("k1", "k2", "id").join(found, F.col("k1") == F.col("node"), "left").select("k1", "k2", "id", F.coalesce("component", "k1").alias("component"))
+    best = placed.groupBy("component").agg(F.min(F.struct("id", "k2", "k1")).alias("s")).select(F.col("s.id").alias("id"), F.col("s.k1").alias("k1"), F.col("s.k2").alias("k2"))
+    mine = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)) == F.col("id")
+    kept = keyed.join(best, (F.col("k1_") == F.col("k1")) & (F.col("k2_") == F.col("k2")) & mine)
+    one = Window.partitionBy("k1_", "k2_").orderBy(*(F.col(c) for c in docs.columns if c != "text" and docs.schema[c].dataType.typeName() != "map"))
+    return kept.withColumn("n_", F.row_number().over(one)).where("n_ = 1").select(*docs.columns)
