@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytrace.llm import fingerprints, hmm, html, mixing, neardup, packing, quality, secrets, tokencount
+from skytrace.llm import fingerprints, hmm, html, mixing, neardup, packing, quality, secrets, suffixdedup, tokencount
 from skytrace.llm.common import materialise, table
 
 
@@ -35,6 +35,10 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencount.count_tokens(docs, tokenizer_path("piece_bpe_32k.model")).drop("text")
@@ -60,7 +64,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_mixing, op3_document_fingerprints, op4_html_extraction, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup, op10_lm_scoring]
+    found = [op1_packing, op2_mixing, op3_document_fingerprints, op4_html_extraction, op5_suffix_array_dedup, op6_token_counts, op7_quality_rules, op8_secret_scans, op9_simhash_near_dedup, op10_lm_scoring]
     return {f.__name__: f for f in found}
 
 
