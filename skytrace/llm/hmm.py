@@ -2,7 +2,7 @@
 
 Learning.  Training texts are lower-cased (A-Z) and cut into words, each text
 closed by one end token.  All their tokens are counted, exactly and over the
-whole corpus.  The ``vocabulary`` most frequent ones are the model's symbols; all
+whole corpus.  The ``vocabulary`` most frequent ones (of two or more) are the model's symbols; all
 others share one symbol, which carries a corpus-wide distribution over them with
 one unit for any unseen word.  Latent states start from a hard labelling (group
 of the text's language, shape of the word) and are then trained by Baum-Welch:
@@ -43,6 +43,8 @@ class HmmParams:
     shapes: int = 3
     vocabulary: int = 32_768
     lookup: int = 524_288
+    #: Tokens seen less often have no symbol of their own: they teach how likely a state is to emit unseen ones.
+    min_count: int = 2
     rounds: int = 3
     train_span: int = 512
     #: Pseudo-counts of the unigram distribution in each state, and of each transition.
@@ -129,7 +131,7 @@ def vocabulary(counts: DataFrame, params: HmmParams) -> Vocabulary:
     rank = np.where(is_end, -1, rank)  # the end is always a symbol
     order = np.argsort(rank, kind="stable")
     h, c = h[order], c[order]
-    m = min(params.vocabulary, len(h))
+    m = min(params.vocabulary, int(((c >= params.min_count) | (h == END)).sum()))
     symbols = np.where(np.arange(len(h)) < m, np.arange(len(h)), -1)
     rare_tokens, rare_types = total["n"] - int(c[:m].sum()), total["v"] - m
     by_hash = np.argsort(h)
