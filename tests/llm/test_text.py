@@ -1,0 +1,165 @@
+"""Vectorised text views, token counts, quality rules and secrets against plain code."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from skytrace.llm import quality, secrets, textbatch, tokencount
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab é\n\t.,# 日X9", max_size=60)), max_size=8)
+
+
+def view(texts):
+    return textbatch.utf8(pa.array(texts, pa.string()))
+
+
+@given(TEXTS)
+@settings(max_examples=60, deadline=None)
+def test_words_and_hashes(texts):
+    data, off = view(texts)
+    starts, ends, first = textbatch.words(data, off)
+    got = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    want = [[w.encode() for w in WORD.findall(t or "")] for t in texts]
+    assert got == [w for x in want for w in x]
+    assert np.diff(first).tolist() == [len(x) for x in want]
+    hashes = textbatch.hash_spans(data, starts, ends - starts)
+    assert len(set(hashes.tolist())) == len(set(got))
+
+
+def test_long_spans_hash_apart():
+    texts = ["a" * n for n in (7, 8, 9, 15, 16, 17, 300, 301)]
+    data, off = view(texts)
+    starts, ends, _ = textbatch.words(data, off)
+    assert len(set(textbatch.hash_spans(data, starts, ends - starts).tolist())) == len(texts)
+
+
+def brute_quality(text):
+    text = text or ""
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    often = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(3)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+@given(TEXTS)
+@settings(max_examples=60, deadline=None)
+def test_base_counts(texts):
+    base = quality.base_counts(*view(texts))
+    got = list(zip(*(base[k].tolist() for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))))
+    assert got == [brute_quality(t) for t in texts]
+
+
+def test_jensen_shannon():
+    p, q = np.array([[0.5, 0.5, 0.0]]), np.array([[0.0, 0.5, 0.5]])
+    m = (p + q) / 2
+    kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a[0], m[0]) if x)
+    assert quality.jensen_shannon(p, q)[0] == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2))
+    assert quality.jensen_shannon(p, p)[0] == 0
+
+
+def test_quality_query(documents, odd, none):
+    rows = quality.judge(documents).collect()
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_quality(r.text)
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.kept and r.base_failed)
+    strange = quality.judge(odd).collect()
+    assert len(strange) == odd.count() and all(isinstance(r.n_words, int) for r in strange)
+    assert quality.judge(none).count() == 0
+
+
+def test_quality_keeps_clean_and_rejects_junk(spark, sf):
+    d = sf.replace("sf0.001", "sf0.01")
+    labelled = quality.judge(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("not base_failed").collect()
+    good = [r.kept for r in labelled if r.quality == 1]
+    bad = [r.kept for r in labelled if r.quality == 0]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
+
+
+def brute_secrets(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_secrets(documents, odd, none):
+    for df in (documents, odd):
+        for r in secrets.scan(df).select("text", "base_spans", "spans", "n_assign", "n_access", "n_hex").collect():
+            want = brute_secrets(r.text)
+            assert r.base_spans == want
+            assert set(filter(None, want.split(","))) <= set(filter(None, r.spans.split(",")))
+            assert (r.n_assign, r.n_access, r.n_hex) == tuple(want.count(k + ":") for k in ("assign", "access", "hex"))
+    assert secrets.scan(none).count() == 0
+
+
+def test_secret_cases():
+    key = "AKIA" + "ABCDEFGH12345678"
+    base, spans = secrets.find_secrets(f"é {key} Token:'abcDEF123456' apikey=short 0123456789abcdef0 tOKEN = abcdefabcdef")
+    assert [k for _, _, k in base] == ["access", "assign", "hex", "assign"]
+    assert base[0][:2] == (2, 22)
+    mixed = "q7Zx91LmPw83kRtY2vBn"
+    assert [s[2] for s in secrets.find_secrets(f"see {mixed} there")[1]] == ["entropy"]
+    for harmless in ("internationalization-of-software", "https://Example.org/A1b2C3d4E5f6G7h8", "aaaaaaaaaaaaaaaaaaaaaaaa", "supercalifragilisticexpialidocious"):
+        assert not secrets.find_secrets(f"see {harmless} there")[1]
+    text = f"a {mixed} b {key} c"
+    assert secrets.redacted(text, secrets.find_secrets(text)[1], "[S]") == "a [S] b [S] c"
+
+
+def test_entropy_window_is_exact():
+    rnd = random.Random(3)
+    p = secrets.SecretParams()
+    import math
+
+    for _ in range(50):
+        s = "".join(rnd.choice("abcXYZ019fe") for _ in range(40))
+        want = set()
+        for i in range(len(s) - p.window + 1):
+            w = s[i : i + p.window]
+            h = -sum(c / p.window * math.log2(c / p.window) for c in Counter(w).values())
+            only_hex = all(c in "0123456789abcdef" for c in w)
+            kinds = [any(c.islower() for c in w), any(c.isupper() for c in w), any(c.isdigit() for c in w)]
+            if h >= p.hex_entropy and kinds[0] and kinds[2] if only_hex else h >= p.mixed_entropy and all(kinds):
+                want |= set(range(i, i + p.window))
+        assert {i for a, b in secrets.entropy_spans(s, p) for i in range(a, b)} == want
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_token_counts(documents, odd, none):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for df in (documents, odd):
+        for r in tokencount.count_tokens(df, PIECES).collect():
+            assert r.n_tokens == len(sp.encode(r.text or "", num_threads=1))
+            assert r.n_bytes == len((r.text or "").encode()) and r.over_limit == (r.n_tokens > 4096)
+    assert tokencount.count_tokens(none, PIECES).count() == 0
+
+
+def test_token_counts_of_random_text():
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("  ▁abcdeéñ\n\t\0日😀.,<>09-_/XYthein") for _ in range(rnd.randint(0, 80))) for _ in range(400)]
+    texts += ["".join(rnd.choice("thein_go") for _ in range(rnd.randint(190, 700))) for _ in range(10)] + ["\0\0", " " * 50]
+    assert tokencount.count_texts(texts, PIECES) == [len(x) for x in sp.encode(texts, num_threads=1)]
+
+
+def test_digest_matches_sql(spark):
+    from pyspark.sql import functions as F
+
+    assert spark.range(1).select(F.sha2(F.lit("hex:1:2"), 256)).first()[0] == hashlib.sha256(b"hex:1:2").hexdigest() == secrets.digest("hex:1:2")
+    assert zlib.crc32(b"") == 0
