@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType()}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A schema from ``name type`` pairs; needs no session."""
+    return T.StructType([T.StructField(n, TYPES[t]) for n, t in (x.split() for x in text.split(","))])
 
 
 STATES = _struct(
