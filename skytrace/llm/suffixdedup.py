@@ -377,8 +377,9 @@ def repeats(rows: list[list], length: int) -> tuple[np.ndarray, np.ndarray, np.n
         by = np.lexsort((rank[valid], pair))
         pair = pair[by]
         again = valid[by][1:][pair[1:] == pair[:-1]]
-        hits_item.append(again)
-        hits_back.append(np.full(len(again), back))
+        if len(again):
+            hits_item.append(again)
+            hits_back.append(np.full(len(again), back))
     out = [], [], [], []
     if hits_item:
         item, back = np.concatenate(hits_item), np.concatenate(hits_back)
