@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+_written: list[tuple[SparkSession, str]] = []
 
-def boundary(df: DataFrame) -> DataFrame:
-    """``df`` as written to and read from ``spark.checkpoint.dir``; the plan before it runs once.
 
-    Where the session names no folder, one of our own is set, as in tests.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; where the session names none, one of our own is set, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(named)
-    path = f"{named.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    return named.rstrip("/")
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder; it is deleted when the driver's Python ends."""
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(sweep)
+    _written.append((spark, path))
+    return path
+
+
+def sweep() -> None:
+    """Deletes what was written, as far as the sessions still run."""
+    while _written:
+        spark, path = _written.pop()
+        if spark.sparkContext._jsc is None:
+            continue
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def boundary(df: DataFrame) -> DataFrame:
+    """``df`` as written to and read from the shared folder; the plan before it runs once."""
+    spark = df.sparkSession
+    path = scratch(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
