@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from skytrace.plans.boundary import scratch
+
 #: Rows in an Arrow batch handed to a Python operator; bounds a worker's memory
 #: at this many texts (operators cut batches further by bytes).
 BATCH_ROWS = 1000
@@ -21,15 +21,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or one of our own where it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "/tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def materialise(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -38,7 +29,7 @@ def materialise(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     when it ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = scratch(spark, tag)
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
