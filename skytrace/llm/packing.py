@@ -189,8 +189,8 @@ def pack(docs: DataFrame, path: str, params: PackParams = PackParams()) -> DataF
             yield _rows(packer.open, next_id, part, False)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    groups, level = source.rdd.getNumPartitions(), 0
     pieces = materialise(source.mapInArrow(scan, PIECE), "pack-pieces")
+    groups, level = (pieces.agg(F.max("part")).first()[0] or 0) + 1, 0
     done, rest = [pieces.where("done")], pieces.where("not done")
     while True:
         level, groups = level + 1, -(-groups // FAN_IN)
