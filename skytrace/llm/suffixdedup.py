@@ -41,9 +41,11 @@ from skytrace.llm.common import materialise, prepare, shuffle_partitions
 
 #: Bytes of the strings whose hashes choose anchors.
 GRAM = 32
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Bytes of surroundings that a task sorts into one set of runs.
-RUN_BYTES = 48 << 20
+RUN_BYTES = 16 << 20
+#: Shares of suffixes by shuffle partition; a task has one in hand at a time.
+SHARES = 4
 NO_ID = -(1 << 63)
 PLACE = np.uint64((1 << 24) - 1)
 STEP = 1 << 23
@@ -378,13 +380,14 @@ def repeats(rows: list[list], length: int) -> tuple[np.ndarray, np.ndarray, np.n
         pair = pair[by]
         again = valid[by][1:][pair[1:] == pair[:-1]]
         if len(again):
-            hits_item.append(again)
-            hits_back.append(np.full(len(again), back))
+            hits_item.append(again.astype(np.int32))
+            hits_back.append(np.full(len(again), back, np.int16))
     out = [], [], [], []
     if hits_item:
         item, back = np.concatenate(hits_item), np.concatenate(hits_back)
         by = np.lexsort((-back, item))
-        item, start = item[by], (place[item] - back)[by]
+        item, back = item[by], back[by]
+        start = place[item] - back
         new = np.append(True, (item[1:] != item[:-1]) | (start[1:] != start[:-1] + 1))[: len(item)]
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(item)) - 1
@@ -404,15 +407,16 @@ def repeats(rows: list[list], length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
     """(doc_id, dkey, start, end): ranges of repeated bytes; they may overlap."""
-    shares = shuffle_partitions(docs.sparkSession)
-    marks = materialise(repeated_anchors(docs, length, shares), "anchors")
+    parts = shuffle_partitions(docs.sparkSession)
+    shares = SHARES * parts
+    marks = materialise(repeated_anchors(docs, length, parts), "anchors")
     runs = suffix_runs(docs, marks, length, shares)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches):
             yield pa.record_batch([pa.array(x) for x in repeats(rows, length)], names=["doc_id", "dkey", "start", "end"])
 
-    merged = runs.repartition(shares, "share").sortWithinPartitions("share").mapInArrow(merge, "doc_id long, dkey long, start long, end long")
+    merged = runs.repartition(parts, "share").sortWithinPartitions("share").mapInArrow(merge, "doc_id long, dkey long, start long, end long")
     return materialise(merged, "ranges")
 
 
