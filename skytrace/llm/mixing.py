@@ -44,7 +44,7 @@ class MixParams:
     tolerance: float = 1e-7
     max_steps: int = 60
     #: Documents of a source in a rounding bucket, on average.
-    bucket_rows: int = 20_000
+    bucket_rows: int = 2_000
 
 
 def with_size(docs: DataFrame) -> DataFrame:
