@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 from skytrace.llm import textbatch as tb
 from skytrace.llm.common import materialise, prepare
 from skytrace.llm.components import components
-from skytrace.llm.hamming import STORED, segments, sharded
+from skytrace.llm.hamming import ASKED, STORED, segments, sharded
 from skytrace.llm.textbatch import slices
 
 
@@ -260,6 +260,8 @@ class DedupParams:
     #: Tables of buckets, each keyed by two minima over the shingle set: a pair that is 0.8 alike misses all with chance 1e-5.
     tables: int = 11
     shard_rows: int = 1024
+    #: Shingles of the sets that an exact comparison has in hand.
+    shard_shingles: int = 2_000_000
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -306,7 +308,8 @@ def nearest_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Ite
     """A minimum spanning forest, by fingerprint distance, of each shard's links within the radius.
 
     Whatever is connected at any smaller distance is connected by forest edges
-    of at most that distance, in every shard and so in their union.
+    of at most that distance, in every shard and so in their union.  Distance
+    only estimates similarity, so ``completed`` goes on where edges are refused.
     """
     key, tree = None, BKTree()
     fp_of: dict[int, int] = {}
@@ -354,8 +357,8 @@ def nearest_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Ite
         yield forest(hits)
 
 
-def verified(docs: DataFrame, links: DataFrame, params: DedupParams) -> DataFrame:
-    """The links whose texts' shingle sets are alike enough, by exact comparison."""
+def shingle_table(docs: DataFrame, links: DataFrame, params: DedupParams) -> DataFrame:
+    """(k1, set): the distinct shingle hashes, in order, of each text that has a link."""
     ends = materialise(links.select(F.col("a").alias("k1")).unionByName(links.select(F.col("b").alias("k1"))).distinct(), "dedup-ends")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,13 +369,121 @@ def verified(docs: DataFrame, links: DataFrame, params: DedupParams) -> DataFram
             yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["k1", "set"])
 
     needed = docs.select("k1", "text").join(ends, "k1", "left_semi").mapInArrow(run, "k1 long, set array<bigint>")
-    sets = materialise(needed.groupBy("k1").agg(F.first("set").alias("set")), "dedup-sets")
+    return materialise(needed.groupBy("k1").agg(F.first("set").alias("set")), "dedup-sets")
+
+
+def verified(links: DataFrame, sets: DataFrame, params: DedupParams) -> DataFrame:
+    """The links whose texts' shingle sets are alike enough, by exact comparison."""
     pairs = links.join(sets.select(F.col("k1").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("k1").alias("b"), F.col("set").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
     return pairs.where(common >= F.lit(params.similarity) * union).select("a", "b")
 
 
+class ShingleIndex:
+    """Shingle sets by shingle, to count what a set has in common with each of them."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.sizes = np.array([len(s) for s in sets])
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.flat = flat[order]
+
+    def alike(self, x: np.ndarray, similarity: float) -> np.ndarray:
+        """Which of the sets are at least so much alike ``x``."""
+        low, high = np.searchsorted(self.flat, x, "left"), np.searchsorted(self.flat, x, "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(self.owners[at], minlength=len(self.sizes))
+        return np.flatnonzero(common >= similarity * (len(x) + self.sizes - common))
+
+
+def alike_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Iterator[pa.RecordBatch]:
+    """Links that join what each shard's alike sets connect, from (table, value, shard, role, strong, k1, set).
+
+    Every set is compared with every stored one; rows of one ``strong`` number are connected already.
+    """
+    key, index = None, None
+    parent: dict[int, int] = {}
+    stored: list[tuple[int, int, np.ndarray]] = []
+    a: list[int] = []
+    b: list[int] = []
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def ask(strong: int, rep: int, found: np.ndarray) -> None:
+        for i in index.alike(found, params.similarity).tolist():
+            p, q = root(strong), root(stored[i][0])
+            if p != q:
+                parent[p] = q
+                a.append(rep)
+                b.append(stored[i][1])
+
+    def close() -> None:
+        nonlocal index
+        if index is None and stored:
+            index = ShingleIndex([s for _, _, s in stored])
+            for row in stored if len({strong for strong, _, _ in stored}) > 1 else []:
+                ask(*row)
+
+    for batch in batches:
+        table, value, shard, role, strong, reps = (batch.column(i).to_pylist() for i in range(6))
+        sets = batch.column(6)
+        cut, values = sets.offsets.to_pylist(), sets.values.to_numpy(zero_copy_only=False)
+        for i, now in enumerate(zip(table, value, shard)):
+            if now != key:
+                close()
+                key, index, stored, parent = now, None, [], {}
+            row = strong[i], reps[i], values[cut[i] : cut[i + 1]]
+            if role[i] == STORED:
+                stored.append(row)
+            else:
+                close()
+                if stored:
+                    ask(*row)
+        if len(a) >= 50_000:
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a.clear()
+            b.clear()
+    close()
+    yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def completed(classes: DataFrame, links: DataFrame, sets: DataFrame, params: DedupParams) -> DataFrame:
+    """Verified links that connect every alike pair of candidates, not only those that are links themselves.
+
+    What refused links hold together, but verified ones don't, is compared
+    exactly: groups that fit a shard all against all, larger ones by bucket.
+    """
+    direct = materialise(verified(links, sets, params), "dedup-verified")
+    joined = components(direct)
+    strong = materialise(sets.select("k1", F.size("set").alias("size")).join(joined, F.col("k1") == F.col("node"), "left").select("k1", "size", F.coalesce("component", "k1").alias("strong")), "dedup-strong")
+    end = lambda name: strong.select(F.col("k1").alias(name), F.col("strong").alias(f"{name}_"))
+    refused = links.join(end("a"), "a").join(end("b"), "b").where("a_ <> b_").select(F.least("a_", "b_").alias("a"), F.greatest("a_", "b_").alias("b")).distinct()
+    groups = components(refused)  # without the smallest node of each
+    groups = groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
+    members = materialise(strong.join(groups, F.col("strong") == F.col("node")).select("k1", "size", "strong", F.col("component").alias("value")), "dedup-members")
+    large = members.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > params.shard_rows)
+    whole = members.join(large, "value", "left_anti").select(F.lit(-1).alias("table"), "value", "size", "strong", "k1")
+    keys = classes.select("k1", F.posexplode("keys").alias("table", "value"))
+    parts = members.join(large, "value", "left_semi").drop("value").join(keys, "k1").select("table", "value", "size", "strong", "k1")
+    rows = whole.unionByName(parts)
+    weight = rows.groupBy("table", "value").agg(F.count("*").alias("n"), F.sum("size").alias("weight"), F.min("strong").alias("lo"), F.max("strong").alias("hi")).where("lo < hi")
+    shards = F.ceil(F.greatest(F.col("n") / params.shard_rows, F.col("weight") / params.shard_shingles))
+    placed = rows.join(weight, ["table", "value"]).withColumn("own", F.pmod(F.xxhash64("k1"), shards).cast("int"))
+    dealt = placed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("own"))))
+    dealt = dealt.withColumn("role", F.when(F.col("shard") == F.col("own"), STORED).otherwise(ASKED))
+    order = ["table", "value", "shard", "role", "strong", "k1"]
+    dealt = dealt.join(sets, "k1").select(*order, "set").repartition("table", "value", "shard").sortWithinPartitions(*order)
+    more = dealt.mapInArrow(lambda batches: alike_links(batches, params), "a long, b long")
+    return direct.unionByName(more)
+
+
 def deduplicate(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
     """``docs`` without near copies: of each component the row with the smallest ``doc_id`` stays.
 
@@ -393,7 +504,8 @@ def deduplicate(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFra
     wordless = classes.where(F.col("keys") == F.array_repeat(F.lit(0).cast("long"), params.tables)).select("k1")
     anchor = wordless.agg(F.min("k1")).first()[0]  # one value
     blank = wordless.select(F.lit(anchor).cast("long").alias("a"), F.col("k1").alias("b"))
-    found = components(verified(source, links, params).unionByName(blank))
+    alike = completed(classes, links, shingle_table(source, links, params), params)
+    found = components(alike.unionByName(blank))
     placed = classes.select("k1", "k2", "id").join(found, F.col("k1") == F.col("node"), "left").select("k1", "k2", "id", F.coalesce("component", "k1").alias("component"))
     best = placed.groupBy("component").agg(F.min(F.struct("id", "k2", "k1")).alias("s")).select(F.col("s.id").alias("id"), F.col("s.k1").alias("k1"), F.col("s.k2").alias("k2"))
     mine = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)) == F.col("id")

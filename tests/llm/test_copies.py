@@ -161,6 +161,27 @@ def test_deduplicate(spark, documents, odd, none):
     assert neardup.deduplicate(none).count() == 0
 
 
+def edited_group(rnd, copies, words, edits):
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(words)]
+    made = []
+    for _ in range(copies):
+        w = list(base)
+        for _ in range(rnd.randint(*edits)):
+            w[rnd.randrange(words)] = f"e{rnd.randrange(10**6)}"
+        made.append(" ".join(w))
+    return made
+
+
+def test_refused_forest_links_split_no_group(spark):
+    rnd = random.Random(4)
+    made = [t for _ in range(6) for t in edited_group(rnd, 60, 150, (1, 4))]
+    sets = [shingles(t) for t in made]
+    low = join(len(made), ((i, j) for i in range(len(made)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), list(range(len(made))))
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string").repartition(3)
+    for changed in ({}, {"shard_rows": 16}, {"shard_shingles": 2000}):
+        assert sorted(r.doc_id for r in neardup.deduplicate(df, neardup.DedupParams(**changed)).collect()) == sorted(set(low))
+
+
 def brute_removed(rows, length=100):
     order = sorted(rows, key=lambda r: -(1 << 63) if r[0] is None else r[0])
     seen, out = set(), {}
