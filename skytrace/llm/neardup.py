@@ -283,13 +283,23 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarr
     return grams, row
 
 
+def distinct(grams: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's hashes once, in order."""
+    order = np.lexsort((grams, row))
+    grams, row = grams[order], row[order]
+    first = np.ones(len(grams), bool)
+    first[1:] = (np.diff(row) != 0) | (grams[1:] != grams[:-1])
+    return grams[first], row[first]
+
+
 def signatures(rows: DataFrame, params: DedupParams) -> DataFrame:
     """(k1, k2, doc_id, f0..f3, keys) of each row of ``rows`` (k1, k2, doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text"):
             n = batch.num_rows
-            grams, row = shingle_sets(data, off, params.shingle)
+            # similarity is of sets, so a repeat has no vote
+            grams, row = distinct(*shingle_sets(data, off, params.shingle))
             bounds = np.searchsorted(row, np.arange(n + 1))
             full = np.flatnonzero(np.diff(bounds))
             total = np.diff(bounds)[:, None]

@@ -182,6 +182,16 @@ def test_refused_forest_links_split_no_group(spark):
         assert sorted(r.doc_id for r in neardup.deduplicate(df, neardup.DedupParams(**changed)).collect()) == sorted(set(low))
 
 
+def test_repeated_passages_hide_no_copy(spark):
+    rnd = random.Random(5)
+    made = []
+    for _ in range(5):
+        body, passage = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(n)) for n in (300, 30))
+        made += [f"{body} {passage}", f"{body} {' '.join([passage] * 10)}"]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in neardup.deduplicate(df).collect()) == [0, 2, 4, 6, 8]
+
+
 def brute_removed(rows, length=100):
     order = sorted(rows, key=lambda r: -(1 << 63) if r[0] is None else r[0])
     seen, out = set(), {}
