@@ -6,7 +6,7 @@ up to date, so each step costs two updates.  Windows whose Shannon entropy
 passes the limit of their character class (hexadecimal, or mixed letters and
 digits) are joined into spans of kind ``entropy``, unless the candidate matches
 the allow list (addresses, identifiers made of words, file names and the like)
-or a fixed pattern has found it already.  Fixed findings are never suppressed.
+or fixed patterns have found all of it already.  Fixed findings are never suppressed.
 
 Positions are code points; ends are exclusive.  Defined cases: a null or empty
 text has no spans; texts of any length are scanned whole; extra columns stay.
@@ -108,6 +108,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def covered(start: int, end: int, spans: list[tuple[int, int, str]]) -> bool:
+    """Whether ``spans``, by start, together hold all from ``start`` to ``end``."""
+    for s, e, _ in spans:
+        if s <= start < e:
+            start = e
+    return start >= end
+
+
 def find_secrets(text: str, params: SecretParams = SecretParams()) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Fixed spans, and all spans including those found by entropy."""
     base = base_spans(text)
@@ -118,7 +126,7 @@ def find_secrets(text: str, params: SecretParams = SecretParams()) -> tuple[list
             continue
         for s, e in entropy_spans(m[0], params):
             s, e = s + m.start(), e + m.start()
-            if not any(b < e and s < t for b, t, _ in base):
+            if not covered(s, e, base):
                 spans.append((s, e, "entropy"))
     return base, sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
