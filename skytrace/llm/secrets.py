@@ -3,8 +3,8 @@
 A candidate is a maximal run of ``[A-Za-z0-9+/_.=-]`` of at least ``window``
 characters.  A window slides over it while counts of its characters are kept
 up to date, so each step costs two updates.  Windows whose Shannon entropy
-passes the limit of their character class (hexadecimal, or mixed letters and
-digits) are joined into spans of kind ``entropy``, unless the candidate matches
+passes the limit of their character class (hexadecimal in either case, or the
+groups of letters and digits they hold) are joined into spans of kind ``entropy``, unless the candidate matches
 the allow list (addresses, identifiers made of words, file names and the like)
 or fixed patterns have found all of it already.  Fixed findings are never suppressed.
 
@@ -46,6 +46,11 @@ class SecretParams:
     mixed_entropy: float = 3.6
     #: Character groups (lower, upper, digit) a mixed window must hold.
     min_groups: int = 3
+    #: Limits of windows with fewer groups: a random one mostly reaches its limit, one made of words hardly.
+    lower_digit_entropy: float = 3.6
+    upper_digit_entropy: float = 3.5
+    letters_entropy: float = 3.8
+    one_case_entropy: float = 4.0
     allow: tuple[str, ...] = (
         r"\A[a-z]+([-_./][a-z]+)+\Z",
         r"\A(www\.|https?:)",
@@ -53,6 +58,12 @@ class SecretParams:
         r"(?i)\A(.)\1+\Z",
         r"(?i)example|placeholder|changeme|xxxx",
     )
+    #: Names made of words and numbers, which only windows of all groups can mark.
+    names: tuple[str, ...] = (
+        r"\A[a-z]*([A-Z][a-z]{2,})+\Z",
+        r"\A[a-z]{4,}[0-9]{1,4}([a-z]{4,}[0-9]{1,4})*([a-z]{4,})?\Z",
+        r"\A([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})([-_./]([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))+\Z",
+    )
 
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]+")
@@ -70,6 +81,14 @@ def entropy_spans(candidate: str, params: SecretParams) -> list[tuple[int, int]]
     counts: Counter[str] = Counter()
     groups = [0, 0, 0, 0]
     strange = 0  # characters in the window that are not lower-case hexadecimal
+    strange_upper = 0  # and that are not upper-case hexadecimal
+    limits = {} if any(re.search(x, candidate) for x in params.names) else {
+        (True, False, True): params.lower_digit_entropy,
+        (False, True, True): params.upper_digit_entropy,
+        (True, True, False): params.letters_entropy,
+        (True, False, False): params.one_case_entropy,
+        (False, True, False): params.one_case_entropy,
+    }
     plogp = [0.0] + [k * math.log2(k) for k in range(1, w + 1)]
     total = 0.0  # sum of k log k over the window's counts
     spans: list[tuple[int, int]] = []
@@ -78,19 +97,24 @@ def entropy_spans(candidate: str, params: SecretParams) -> list[tuple[int, int]]
         counts[c] += 1
         groups[_group(c)] += 1
         strange += c not in "0123456789abcdef"
+        strange_upper += c not in "0123456789ABCDEF"
         if i >= w:
             gone = candidate[i - w]
             total += plogp[counts[gone] - 1] - plogp[counts[gone]]
             counts[gone] -= 1
             groups[_group(gone)] -= 1
             strange -= gone not in "0123456789abcdef"
+            strange_upper -= gone not in "0123456789ABCDEF"
         if i < w - 1:
             continue
         entropy = math.log2(w) - total / w
         if strange == 0:
             hit = entropy >= params.hex_entropy and groups[0] > 0 and groups[2] > 0
+        elif strange_upper == 0:
+            hit = entropy >= params.hex_entropy and groups[1] > 0 and groups[2] > 0
         else:
-            hit = entropy >= params.mixed_entropy and sum(g > 0 for g in groups[:3]) >= params.min_groups
+            held = groups[0] > 0, groups[1] > 0, groups[2] > 0
+            hit = entropy >= (params.mixed_entropy if sum(held) >= params.min_groups else limits.get(held, math.inf))
         if hit:
             start = i - w + 1
             if spans and start <= spans[-1][1]:

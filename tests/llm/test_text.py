@@ -128,6 +128,17 @@ def test_secrets_that_hold_fixed_findings_go_whole():
     assert not secrets.covered(2, 9, [(0, 4, "hex"), (5, 9, "hex")])
 
 
+def test_secrets_of_one_or_two_character_groups():
+    rnd = random.Random(8)
+    draw = lambda symbols, n=40: "".join(rnd.choice(symbols) for _ in range(n))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    made = ["q7zx91lmpw83krty2vbn5j"] + [draw(s) for s in (digits + "ABCDEF", upper + "234567", lower + digits, lower + upper) for _ in range(50)]
+    for secret in made:
+        assert any(s[2] == "entropy" for s in secrets.find_secrets(f"see {secret} there")[1]), secret
+    for harmless in ("supercalifragilisticexpialidocious", "internationalizationOfSoftware", "chapter12section34paragraph", "ANNUAL_REPORT_OF_THE_BOARD_2024"):
+        assert not secrets.find_secrets(f"see {harmless} there")[1], harmless
+
+
 def test_entropy_window_is_exact():
     rnd = random.Random(3)
     p = secrets.SecretParams()
