@@ -114,7 +114,7 @@ def test_secret_cases():
     assert base[0][:2] == (2, 22)
     mixed = "q7Zx91LmPw83kRtY2vBn"
     assert [s[2] for s in secrets.find_secrets(f"see {mixed} there")[1]] == ["entropy"]
-    for harmless in ("internationalization-of-software", "https://Example.org/A1b2C3d4E5f6G7h8", "aaaaaaaaaaaaaaaaaaaaaaaa", "supercalifragilisticexpialidocious"):
+    for harmless in ("internationalization-of-software", "https://Example.org/A1b2C3d4E5f6G7h8", "zzzzzzzzzzzzzzzzzzzzzzzz", "supercalifragilisticexpialidocious"):
         assert not secrets.find_secrets(f"see {harmless} there")[1]
     text = f"a {mixed} b {key} c"
     assert secrets.redacted(text, secrets.find_secrets(text)[1], "[S]") == "a [S] b [S] c"
