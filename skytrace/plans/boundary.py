@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where the session names none, one of our own is set, as in tests."""
+    """``spark.checkpoint.dir``; where a local session names none, as in tests, one of our own is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -32,10 +35,14 @@ def sweep() -> None:
     """Deletes what was written, as far as the sessions still run."""
     while _written:
         spark, path = _written.pop()
-        if spark.sparkContext._jsc is None:
-            continue
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        if spark.sparkContext._jsc is not None:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path in whatever file system holds it; nothing happens if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def boundary(df: DataFrame) -> DataFrame:
