@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skytrace.plans.boundary import scratch
+from skytrace.plans.boundary import remove, scratch
 
-#: Rows in an Arrow batch handed to a Python operator; bounds a worker's memory
-#: at this many texts (operators cut batches further by bytes).
+#: Rows and bytes in an Arrow batch handed to a Python operator, at most; a longer single row is a batch of its own.
 BATCH_ROWS = 1000
+BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,11 +18,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the Python operators rely on."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Session settings the Python operators rely on; smaller limits that are set already stay.
+
+    They hold for the session, since a plan reads them when it runs.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
     spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
 
 
+def extended(df: DataFrame, columns: str) -> T.StructType:
+    """The schema of ``df`` and then ``columns`` (``name type, ...``)."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(columns).fields])
+
+
+def quoted(names: list[str]) -> list:
+    """Columns by name, whatever characters it holds."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def materialise(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -40,9 +59,22 @@ def materialise(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
         writer.parquet(path)
     finally:
         spark.conf.set(key, before)
-    schema = df.schema
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table of ``materialise`` that nothing reads any more."""
+    remove(df.sparkSession, df.scratch_path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slots(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` partitions a long that ``repartition(n, column)`` sends there, so that numbers, not their hashes, deal."""
+    found = spark.range(32 * n, numPartitions=1).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
+    of = {r["p"]: r["id"] for r in found}
+    return [of.get(p, p) for p in range(n)]

@@ -8,7 +8,8 @@ hash votes its weight for or against each bit.  No terms: all bits are zero.
 The search cuts fingerprints into radius + 1 blocks and permutes each block to
 the front in its own table; fingerprints within the radius share a leading block
 in at least one.  A pair is counted only in the first table it shares.  A shard
-of a table is compared by array operations, never as emitted pairs.
+of a table is compared by array operations, never as emitted pairs; large
+buckets are split by further blocks (see ``hamming``).
 
 Defined cases: a null text is empty; equal texts have equal fingerprints; rows
 that share a ``doc_id`` are ordered by text hash; a null ``doc_id`` comes last;
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.llm import textbatch as tb
-from skytrace.llm.common import materialise, prepare, shuffle_partitions
-from skytrace.llm.hamming import STORED, segments, sharded
+from skytrace.llm.common import materialise, prepare, shuffle_partitions, slots
+from skytrace.llm.hamming import STORED, Tables, dealt, segments
 from skytrace.llm.neardup import bit_sums, pack_bits
 
 
@@ -82,33 +83,81 @@ def _of_texts(texts: list[str], params: SimHashParams) -> tuple[np.ndarray, np.n
 EDITED = "doc_id long, n_chars long, edited_sha256 string, high long, low long, edited_high long, edited_low long, near_edited double, near_next double"
 #: Bytes of text in hand at a time, and its own text at least.
 CHUNK = 4 << 20
+NO_ID = (1 << 63) - 1
+WORD = (1 << 64) - 1
+
+
+def _order(ids: np.ndarray, missing: np.ndarray) -> np.ndarray:
+    """Numbers that rise as ids fall; a missing id comes last."""
+    return np.where(missing, np.iinfo(np.int64).max, ~ids)
+
+
+def order_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """A row's place in the order, from (doc_id, hash): by id, then by hash."""
+    ids = batch.column(0)
+    return _order(np.asarray(ids.fill_null(0)), np.asarray(ids.is_null())), np.asarray(batch.column(1))
+
+
+def ranges(keys: tuple[np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many of the cuts, which are in order, stand at or before each key."""
+    out = np.searchsorted(cuts[0], keys[0], "left")
+    last = np.searchsorted(cuts[0], keys[0], "right")
+    for i in np.flatnonzero(last > out).tolist():  # cuts with the same id
+        out[i] += np.searchsorted(cuts[1][out[i] : last[i]], keys[1][i], "right")
+    return out
 
 
 def edited_fingerprints(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
     """Fingerprints of each text and of its edited text (see ``EDITED``).
 
     The edit takes its tail from the next document in descending ``doc_id``.
-    Texts are range-partitioned once; each range also gets a copy of the first
-    document of the range after it, so every neighbour is at hand.
+    Texts are range-partitioned once, by id and then text hash, with cuts from an
+    evenly hashed sample of the keys (64 a range); each range also gets a copy of
+    the first document of the range after it, so every neighbour is at hand.
     """
     spark = docs.sparkSession
     prepare(spark)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
     n = shuffle_partitions(spark)
-    cuts = sorted(set(source.stat.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
-    cut_list = F.array(*(F.lit(int(c)).cast("long") for c in cuts)).cast("array<bigint>")
-    # ranges count from the largest ids down; rows without an id stand in the last
-    place = F.size(F.filter(cut_list, lambda c: F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))) <= c))
-    placed = source.withColumn("range", place)
-    tops = {r["range"]: r["top"] for r in placed.groupBy("range").agg(F.max("doc_id").alias("top")).collect()}  # one row a range
-    used = sorted(tops)
-    serves = F.lit(None).cast("int")
-    for at, after in zip(used, used[1:] + used[:1]):
-        is_top = (F.col("range") == after) & F.col("doc_id").eqNullSafe(F.lit(tops[after]))
-        serves = F.when(is_top, F.lit(at)).otherwise(serves)
-    copies = F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("tail")), F.struct(serves.alias("range"), F.lit(1).alias("tail")))
-    dealt = placed.select("doc_id", "text", F.explode(copies).alias("c")).where("c.range is not null").select("doc_id", "text", "c.range", "c.tail")
-    ordered = dealt.repartition(n, "range").sortWithinPartitions("range", "tail", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
+    light = materialise(source.select("doc_id", "hash"), "order-keys")
+    every = max(1, light.count() // (64 * n))
+    sample = light.where(F.pmod(F.xxhash64("doc_id", "hash"), F.lit(every)) == 0).toArrow().combine_chunks()
+    found = order_keys(sample.to_batches()[0]) if sample.num_rows else (np.zeros(0, np.int64),) * 2
+    by = np.lexsort(found[::-1])
+    picked = by[np.unique(np.arange(1, n) * len(by) // n)] if len(by) else by
+    cuts = found[0][picked], found[1][picked]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = order_keys(batch)
+            yield pa.record_batch([pa.array(ranges(keys, cuts)), *map(pa.array, keys)], names=["range", "o", "h"])
+
+    heads = light.mapInArrow(place, "range long, o long, h long").groupBy("range").agg(F.min(F.struct("o", "h")).alias("k"))
+    first = {r["range"]: (r["k"]["o"], r["k"]["h"]) for r in heads.collect()}  # one row a range
+    used = sorted(first)
+    before = {after: at for at, after in zip(used, used[1:] + used[:1])}
+    slot = np.array(slots(spark, n), np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            keys = order_keys(pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["doc_id", "hash"]))
+            mine = ranges(keys, cuts)
+            copies = []
+            for r in np.unique(mine).tolist():
+                top = np.flatnonzero((mine == r) & (keys[0] == first[r][0]) & (keys[1] == first[r][1]))
+                if len(top) and r not in sent:
+                    sent.add(r)
+                    copies.append((int(top[0]), before[r]))
+            extra = np.array([i for i, _ in copies], np.int64)
+            rows = np.concatenate([np.arange(batch.num_rows), extra])
+            to = np.concatenate([mine, np.array([r for _, r in copies], np.int64)])
+            tail = np.append(np.zeros(batch.num_rows, bool), np.ones(len(extra), bool))
+            taken = batch.take(pa.array(rows)) if len(extra) else batch
+            yield pa.RecordBatch.from_arrays([*taken.columns[:2], pa.array(slot[to % n]), pa.array(to), pa.array(tail), pa.array(keys[0][rows]), pa.array(keys[1][rows])], names=["doc_id", "text", "slot", "range", "tail", "o", "h"])
+
+    dealt = source.select("doc_id", "text", "hash").mapInArrow(deal, "doc_id long, text string, slot long, range long, tail boolean, o long, h long")
+    ordered = dealt.repartition(n, "slot").sortWithinPartitions("range", "tail", "o", "h").select("doc_id", "text", "range", "tail")
 
     def emit(ids: list, texts: list[str]) -> pa.RecordBatch:
         """All rows but the last, which is only the neighbour of the one before it."""
@@ -146,74 +195,65 @@ def edited_fingerprints(docs: DataFrame, params: SimHashParams = SimHashParams()
 
 
 def near_counts(fps: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
-    """(high, low, n_near): how many other distinct fingerprints lie within the radius of each distinct one."""
-    blocks = params.radius + 1
-    if 128 % blocks or 128 // blocks > 32 and blocks != 2:
-        raise ValueError("the radius must cut 128 bits into equal blocks")
-    width = 128 // blocks
-    distinct = fps.select("high", "low").distinct()
-    per_half = blocks // 2
-
-    def block(k: int):
-        half, at = ("high", k) if k < per_half else ("low", k - per_half)
-        return F.shiftrightunsigned(half, width * at).bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else F.col(half)
-
-    entries = F.array(*(F.struct(F.lit(k).alias("table"), block(k).cast("long").alias("value")) for k in range(blocks)))
-    rows = distinct.select(F.explode(entries).alias("e"), "high", "low").select("e.table", "e.value", "high", "low")
-    mask = (1 << width) - 1
+    """(high, low, n_near, near_doc_id) of each distinct fingerprint that has others within the radius.
+
+    ``n_near`` counts them, and ``near_doc_id`` is the smallest ``doc_id`` that carries one of them.
+    """
+    tables = Tables(128, params.radius)
+    rows = fps.groupBy("high", "low").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("rep"))
 
     def compare(table: int, a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+        """Which of ``a`` and ``b`` (low and high halves) are near and don't meet in an earlier table."""
         x = [p[:, None] ^ q[None, :] for p, q in zip(a, b)]
         near = np.bitwise_count(x[0]) + np.bitwise_count(x[1]) <= params.radius
-        for k in range(table):  # counted in an earlier table
-            half, at = (0, k) if k < per_half else (1, k - per_half)
-            near &= (x[half] >> np.uint64(width * at)) & np.uint64(mask) != 0
+        for mask in tables.earlier(table):
+            near &= (x[0] & np.uint64(mask & WORD) | x[1] & np.uint64(mask >> 64)) != 0
         return near
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, stored, seen = None, [np.zeros(0, np.uint64)] * 2, np.zeros(0, np.int64)
+        nothing = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        key, stored, seen, best = None, nothing, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-        def flush() -> list[pa.RecordBatch]:
-            hit = seen > 0
-            return [_near_batch(stored[0][hit], stored[1][hit], seen[hit])] if hit.any() else []
+        def found(parts: tuple, n: np.ndarray, rep: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if (hit := n > 0).any():
+                yield pa.record_batch([pa.array(parts[1][hit].view(np.int64)), pa.array(parts[0][hit].view(np.int64)), pa.array(n[hit]), pa.array(rep[hit])], names=["high", "low", "n", "near"])
 
-        for now, role, parts in segments(batches, 2):
-            mine = [np.ascontiguousarray(p).view(np.uint64) for p in parts]
+        for now, role, (low, high, rep) in segments(batches, 3):
             if now != key:
-                yield from flush()
-                key, stored, seen = now, [np.zeros(0, np.uint64)] * 2, np.zeros(0, np.int64)
-            got = np.zeros(len(mine[0]), np.int64)
-            for s in range(0, len(got), 256):
-                cut = [p[s : s + 256] for p in mine]
-                if len(stored[0]):
-                    near = compare(now[0], cut, stored)
-                    got[s : s + 256] += near.sum(axis=1)
-                    seen[: near.shape[1]] += near.sum(axis=0)
+                yield from found(stored, seen, best)
+                key, stored, seen, best = now, nothing, np.zeros(0, np.int64), np.zeros(0, np.int64)
+            mine = np.ascontiguousarray(low).view(np.uint64), np.ascontiguousarray(high).view(np.uint64), rep
+            for s in range(0, len(rep), 256):
+                cut = tuple(p[s : s + 256] for p in mine)
+                n, least = np.zeros(len(cut[2]), np.int64), np.full(len(cut[2]), NO_ID)
+                if len(stored[2]):
+                    near = compare(now[0], cut[:2], stored[:2])
+                    n += near.sum(axis=1)
+                    seen += near.sum(axis=0)
+                    np.minimum(least, np.where(near, stored[2][None, :], NO_ID).min(axis=1), out=least)
+                    np.minimum(best, np.where(near, cut[2][:, None], NO_ID).min(axis=0), out=best)
                 if role == STORED:
-                    if len(cut[0]) > 1:
-                        near = compare(now[0], cut, cut)
-                        np.fill_diagonal(near, False)
-                        got[s : s + 256] += near.sum(axis=1)
-                    stored = [np.concatenate([p, q]) for p, q in zip(stored, cut)]
-                    seen = np.concatenate([seen, got[s : s + 256]])
-            if role != STORED and (hit := got > 0).any():
-                yield _near_batch(mine[0][hit], mine[1][hit], got[hit])
-        yield from flush()
-
-    found = sharded(rows, ["high", "low"], params.shard_rows).mapInArrow(count, "high long, low long, n long")
-    return found.groupBy("high", "low").agg(F.sum("n").alias("n_near"))
-
+                    near = compare(now[0], cut[:2], cut[:2])
+                    np.fill_diagonal(near, False)
+                    n += near.sum(axis=1)
+                    np.minimum(least, np.where(near, cut[2][None, :], NO_ID).min(axis=1), out=least)
+                    stored = tuple(np.concatenate([p, q]) for p, q in zip(stored, cut))
+                    seen, best = np.concatenate([seen, n]), np.concatenate([best, least])
+                else:
+                    yield from found(cut, n, least)
+        yield from found(stored, seen, best)
 
-def _near_batch(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), pa.array(n)], names=["high", "low", "n"])
+    pairs = dealt(rows, tables, ["low", "high"], params.shard_rows).mapInArrow(count, "high long, low long, n long, near long")
+    least = F.min("near")
+    return pairs.groupBy("high", "low").agg(F.sum("n").alias("n_near"), F.when(least < NO_ID, least).alias("near_doc_id"))
 
 
 def fingerprint_documents(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
-    """``edited_fingerprints`` with hexadecimal fingerprints and ``n_near`` from the permuted tables."""
+    """``edited_fingerprints`` with hexadecimal fingerprints, and ``n_near`` and ``near_doc_id`` from the permuted tables."""
     rows = materialise(edited_fingerprints(docs, params), "fingerprints")
-    near = near_counts(rows, params).select(F.col("high").alias("h"), F.col("low").alias("l"), "n_near")
+    near = near_counts(rows, params).select(F.col("high").alias("h"), F.col("low").alias("l"), "n_near", "near_doc_id")
     joined = rows.join(near, (F.col("high") == F.col("h")) & (F.col("low") == F.col("l")), "left")
     text = lambda a, b: F.lower(F.concat(F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0")))
     return joined.select(
-        "doc_id", "n_chars", "edited_sha256", text("high", "low").alias("fingerprint"), text("edited_high", "edited_low").alias("edited_fingerprint"), "near_edited", "near_next", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")
+        "doc_id", "n_chars", "edited_sha256", text("high", "low").alias("fingerprint"), text("edited_high", "edited_low").alias("edited_fingerprint"), "near_edited", "near_next", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "near_doc_id"
     )

@@ -21,8 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skytrace.llm import textbatch as tb
-from skytrace.llm.common import materialise, prepare
+from skytrace.llm.common import extended, materialise, prepare, quoted
 from skytrace.llm.components import components
-from skytrace.llm.hamming import ASKED, STORED, segments, sharded
+from skytrace.llm.hamming import ASKED, STORED, Tables, dealt, grouped, segments, shards
 from skytrace.llm.textbatch import slices
 
 
@@ -106,7 +104,7 @@ def fingerprints(docs: DataFrame, params: NearDupParams = NearDupParams(), name:
     """``docs`` (with ``text``) plus the fingerprint as a long; an input column of that name is replaced."""
     prepare(docs.sparkSession)
     rest = docs.drop(name)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), f"{name} long"])
+    schema = extended(rest, f"{name} long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text", 4 << 20):
@@ -116,37 +114,18 @@ def fingerprints(docs: DataFrame, params: NearDupParams = NearDupParams(), name:
     return rest.mapInArrow(run, schema)
 
 
-def layout(n: int, params: NearDupParams) -> list[list[tuple[int, int]]]:
-    """Tables, each a list of (shift, width) blocks that must agree.
+def layout(n: int, params: NearDupParams) -> Tables:
+    """Tables for ``n`` fingerprints.
 
-    With r + c blocks, any two fingerprints within radius r agree on c of them.
-    c grows with the number of fingerprints so that buckets stay small; which
-    links are found doesn't depend on it.
+    The number of blocks that must agree grows with the number of fingerprints
+    so that buckets of random ones stay small; which links are found doesn't
+    depend on it.
     """
-    r = params.radius
     for chosen in range(1, 5):
-        blocks = r + chosen
-        width = 64 // blocks
-        if n <= params.bucket_rows << (width * chosen) or chosen == 4:
+        width = 64 // (params.radius + chosen)
+        if n <= params.bucket_rows << (width * chosen):
             break
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    spans = [(a, b - a) for a, b in zip(edges, edges[1:])]
-    tables = [list(x) for x in combinations(spans, chosen)]
-    assert len(tables) == comb(blocks, chosen)
-    return tables
-
-
-def table_rows(fps: DataFrame, tables: list[list[tuple[int, int]]]) -> DataFrame:
-    """(table, value, fp, rep): every fingerprint once in each table."""
-
-    def value(blocks: list[tuple[int, int]]) -> Column:
-        out = F.lit(0).cast("long")
-        for shift, width in blocks:
-            out = F.shiftleft(out, width).bitwiseOR(F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)))
-        return out
-
-    entries = F.array(*(F.struct(F.lit(i).alias("table"), value(t).alias("value")) for i, t in enumerate(tables)))
-    return fps.select(F.explode(entries).alias("e"), "fp", "rep").select("e.table", "e.value", "fp", "rep")
+    return Tables(64, params.radius, chosen)
 
 
 class BKTree:
@@ -228,21 +207,20 @@ def bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
 def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text)."""
     marked = materialise(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), params).select("doc_id", "fp"), "fingerprints")
-    # a class without any id gets a number beyond all ids, taken back below
-    nameless = F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned(F.xxhash64("fp"), 2))
-    classes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("low")).select("fp", F.coalesce("low", nameless).alias("rep")), "classes")
+    # links are between fingerprints, as any number may be an id
+    classes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
     n = classes.count()
-    buckets = sharded(table_rows(classes, layout(n, params)), ["fp", "rep"], params.shard_rows)
+    buckets = dealt(classes.select("fp", F.col("fp").alias("rep")), layout(n, params), ["fp"], params.shard_rows)
     radius = params.radius
     links = buckets.mapInArrow(lambda batches: bucket_links(batches, radius), "a long, b long")
-    # a repeated id links its texts: both of its classes hold it
-    shared = marked.where("doc_id is not null").join(classes, "fp").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    repeated = marked.groupBy("doc_id").agg(F.count_distinct("fp").alias("texts")).where("texts > 1 and doc_id is not null").select(F.col("doc_id").alias("a"))
-    links = links.unionByName(shared.join(repeated, "a", "left_semi").select("a", "b"))
-    found = components(links)
-    by_fp = classes.join(found, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
-    return out.withColumn("component_id", F.when(F.col("component_id") < (1 << 62), F.col("component_id")))
+    # a repeated id links its texts: each is linked to the one of them with the least fingerprint
+    repeated = marked.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).where("b < most")
+    shared = marked.join(repeated.select("doc_id", "b"), "doc_id").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
+    found = components(links.unionByName(shared))
+    by_fp = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
+    low = materialise(by_fp, "components")
+    least = low.groupBy("component").agg(F.min("low").alias("component_id"))
+    return marked.join(low.select("fp", "component"), "fp").join(least, "component").select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(column: str = "fp") -> Column:
@@ -260,8 +238,12 @@ class DedupParams:
     #: Tables of buckets, each keyed by two minima over the shingle set: a pair that is 0.8 alike misses all with chance 1e-5.
     tables: int = 11
     shard_rows: int = 1024
+    #: Shards of a bucket that a text is searched in by fingerprint, at most.
+    split: int = 8
     #: Shingles of the sets that an exact comparison has in hand.
     shard_shingles: int = 2_000_000
+    #: Links of a text that are compared in one go.
+    hub_links: int = 256
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +275,7 @@ def distinct(grams: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def signatures(rows: DataFrame, params: DedupParams) -> DataFrame:
-    """(k1, k2, doc_id, f0..f3, keys) of each row of ``rows`` (k1, k2, doc_id, text)."""
+    """(k1, k2, doc_id, f0..f3, keys, size) of each row of ``rows`` (k1, k2, doc_id, text); size counts its distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text"):
@@ -309,9 +291,25 @@ def signatures(rows: DataFrame, params: DedupParams) -> DataFrame:
                 least = np.minimum.reduceat(tb.mix(grams ^ tb.mix(np.array([t + 77], np.uint64))), bounds[full])
                 keys[full, t // 2] = tb.mix(keys[full, t // 2] * tb.M1 + least)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * params.tables, params.tables), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *(pa.array(b.view(np.int64)) for b in bits), flat], names=["k1", "k2", "doc_id", "f0", "f1", "f2", "f3", "keys"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *(pa.array(b.view(np.int64)) for b in bits), flat, pa.array(total[:, 0])], names=["k1", "k2", "doc_id", "f0", "f1", "f2", "f3", "keys", "size"])
+
+    return rows.mapInArrow(run, "k1 long, k2 long, doc_id long, f0 long, f1 long, f2 long, f3 long, keys array<bigint>, size long")
+
 
-    return rows.mapInArrow(run, "k1 long, k2 long, doc_id long, f0 long, f1 long, f2 long, f3 long, keys array<bigint>")
+def candidates(rows: DataFrame, large: DataFrame, sizes: DataFrame, params: DedupParams) -> DataFrame:
+    """(a, b): forests of links by fingerprint inside the buckets of ``rows`` (table, value, f0..f3, rep).
+
+    Members of a ``large`` bucket are searched in their own shard only, and with
+    the bucket's smallest member; ``completed`` compares what that leaves apart.
+    """
+    names = ["f0", "f1", "f2", "f3", "rep"]
+    count = F.ceil(F.col("members") / params.shard_rows)
+    small = shards(rows.join(large.select("table", "value"), ["table", "value"], "left_anti"), sizes.select("table", "value", "members"), params.shard_rows)
+    inside = rows.join(large.select("table", "value", "members"), ["table", "value"]).withColumn("shard", F.pmod(F.xxhash64("rep"), count).cast("int")).withColumn("role", F.lit(STORED))
+    pivots = large.withColumn("shard", F.explode(F.sequence(F.lit(0), count.cast("int") - 1))).select("table", "value", "shard", F.lit(ASKED).alias("role"), *(F.col("pivot")[n].alias(n) for n in names))
+    every = small.unionByName(inside.select("table", "value", "shard", "role", *names)).unionByName(pivots)
+    found = grouped(every).mapInArrow(lambda batches: nearest_links(batches, params), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def nearest_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Iterator[pa.RecordBatch]:
@@ -367,27 +365,53 @@ def nearest_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Ite
         yield forest(hits)
 
 
-def shingle_table(docs: DataFrame, links: DataFrame, params: DedupParams) -> DataFrame:
-    """(k1, set): the distinct shingle hashes, in order, of each text that has a link."""
-    ends = materialise(links.select(F.col("a").alias("k1")).unionByName(links.select(F.col("b").alias("k1"))).distinct(), "dedup-ends")
+def shingle_table(docs: DataFrame, wanted: DataFrame, params: DedupParams) -> DataFrame:
+    """(k1, set): the distinct shingle hashes, in order, of each text of ``docs`` (k1, text) that is ``wanted`` (k1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text"):
-            grams, row = shingle_sets(data, off, params.shingle)
-            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
-            sets = [np.unique(grams[a:b]).view(np.int64) for a, b in zip(bounds, bounds[1:])]
-            yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["k1", "set"])
+            grams, row = distinct(*shingle_sets(data, off, params.shingle))
+            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            sets = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(grams.view(np.int64)))
+            yield pa.record_batch([batch.column(0), sets.cast(pa.list_(pa.int64()))], names=["k1", "set"])
 
-    needed = docs.select("k1", "text").join(ends, "k1", "left_semi").mapInArrow(run, "k1 long, set array<bigint>")
-    return materialise(needed.groupBy("k1").agg(F.first("set").alias("set")), "dedup-sets")
+    # equal texts are one, whichever row comes first
+    texts = docs.select("k1", "text").join(wanted, "k1", "left_semi")
+    return materialise(texts.mapInArrow(run, "k1 long, set array<bigint>").groupBy("k1").agg(F.first("set").alias("set")), "dedup-sets")
 
 
 def verified(links: DataFrame, sets: DataFrame, params: DedupParams) -> DataFrame:
-    """The links whose texts' shingle sets are alike enough, by exact comparison."""
-    pairs = links.join(sets.select(F.col("k1").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("k1").alias("b"), F.col("set").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - common
-    return pairs.where(common >= F.lit(params.similarity) * union).select("a", "b")
+    """The links whose texts' shingle sets are alike enough, by exact comparison.
+
+    A link goes to the end with more links, whose set is sent once for
+    ``hub_links`` of them.
+    """
+    ends = links.select(F.col("a").alias("k")).unionByName(links.select(F.col("b").alias("k"))).groupBy("k").agg(F.count("*").alias("n"))
+    end = lambda name: ends.select(F.col("k").alias(name), F.struct("n", "k").alias(f"{name}_"))
+    both = links.join(end("a"), "a").join(end("b"), "b")
+    turned = both.select(F.greatest("a_", "b_").alias("hub"), F.least("a_", "b_")["k"].alias("k1"))
+    parts = F.pmod(F.xxhash64("k1"), F.ceil(F.col("hub")["n"] / params.hub_links))
+    pairs = materialise(turned.select(F.col("hub")["k"].alias("hub"), parts.alias("part"), "k1"), "dedup-hubs")
+    hubs = pairs.select("hub", "part").distinct().withColumn("k1", F.col("hub"))
+    rows = hubs.select("hub", "part", F.lit(0).alias("role"), "k1").unionByName(pairs.select("hub", "part", F.lit(1).alias("role"), "k1")).join(sets, "k1")
+    rows = rows.select("hub", "part", "role", "k1", "set").repartition("hub", "part").sortWithinPartitions("hub", "part", "role")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.zeros(0, np.uint64)
+        for batch in batches:
+            hub, role, k1 = (np.asarray(batch.column(i)) for i in (0, 2, 3))
+            cut, values = batch.column(4).offsets.to_pylist(), np.asarray(batch.column(4).values).view(np.uint64)
+            good = np.zeros(len(hub), bool)
+            for i, r in enumerate(role.tolist()):
+                mine = values[cut[i] : cut[i + 1]]
+                if r == 0:
+                    whole = mine
+                elif len(whole) and len(mine):
+                    common = int((whole[np.minimum(np.searchsorted(whole, mine), len(whole) - 1)] == mine).sum())
+                    good[i] = common >= params.similarity * (len(whole) + len(mine) - common)
+            yield pa.record_batch([pa.array(np.minimum(hub, k1)[good]), pa.array(np.maximum(hub, k1)[good])], names=["a", "b"])
+
+    return rows.mapInArrow(check, "a long, b long")
 
 
 class ShingleIndex:
@@ -410,13 +434,13 @@ class ShingleIndex:
 
 
 def alike_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Iterator[pa.RecordBatch]:
-    """Links that join what each shard's alike sets connect, from (table, value, shard, role, strong, k1, set).
+    """Links that join what each shard's alike sets connect, from (table, value, shard, role, asks, strong, k1, set).
 
-    Every set is compared with every stored one; rows of one ``strong`` number are connected already.
+    Every set that ``asks`` is compared with every stored one; rows of one ``strong`` number are connected already.
     """
     key, index = None, None
     parent: dict[int, int] = {}
-    stored: list[tuple[int, int, np.ndarray]] = []
+    stored: list[tuple[int, int, np.ndarray, bool]] = []
     a: list[int] = []
     b: list[int] = []
 
@@ -437,25 +461,26 @@ def alike_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Itera
     def close() -> None:
         nonlocal index
         if index is None and stored:
-            index = ShingleIndex([s for _, _, s in stored])
-            for row in stored if len({strong for strong, _, _ in stored}) > 1 else []:
-                ask(*row)
+            index = ShingleIndex([s for _, _, s, _ in stored])
+            for strong, rep, found, asks in stored:
+                if asks:
+                    ask(strong, rep, found)
 
     for batch in batches:
-        table, value, shard, role, strong, reps = (batch.column(i).to_pylist() for i in range(6))
-        sets = batch.column(6)
+        table, value, shard, role, asks, strong, reps = (batch.column(i).to_pylist() for i in range(7))
+        sets = batch.column(7)
         cut, values = sets.offsets.to_pylist(), sets.values.to_numpy(zero_copy_only=False)
         for i, now in enumerate(zip(table, value, shard)):
             if now != key:
                 close()
                 key, index, stored, parent = now, None, [], {}
-            row = strong[i], reps[i], values[cut[i] : cut[i + 1]]
+            found = values[cut[i] : cut[i + 1]]
             if role[i] == STORED:
-                stored.append(row)
+                stored.append((strong[i], reps[i], found, asks[i]))
             else:
                 close()
                 if stored:
-                    ask(*row)
+                    ask(strong[i], reps[i], found)
         if len(a) >= 50_000:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
             a.clear()
@@ -464,34 +489,80 @@ def alike_links(batches: Iterator[pa.RecordBatch], params: DedupParams) -> Itera
     yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def completed(classes: DataFrame, links: DataFrame, sets: DataFrame, params: DedupParams) -> DataFrame:
+def bucket_state(rows: DataFrame) -> DataFrame:
+    """(table, value, n, weight, most, top) of buckets of ``rows`` (table, value, strong, size, ...) not yet connected.
+
+    ``top`` is the strong number of most members, of which there are ``most``.
+    """
+    by_strong = rows.groupBy("table", "value", "strong").agg(F.count("*").alias("n"), F.sum("size").alias("weight"))
+    state = by_strong.groupBy("table", "value").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.max(F.struct("n", "strong")).alias("top"), F.count("*").alias("k")).where("k > 1")
+    return state.select("table", "value", "n", "weight", F.col("top.n").alias("most"), F.col("top.strong").alias("top"))
+
+
+def unsearched(large: DataFrame, keys: DataFrame, strong: DataFrame, params: DedupParams) -> DataFrame:
+    """(table, value, strong, size, k1): large buckets that their verified links don't connect.
+
+    Where many members are apart, a bucket is split by the keys of further
+    tables, as alike texts share most of them, up to three in all; buckets that
+    are connected go at each step.
+    """
+    every = keys.select("k1", F.map_from_arrays(F.sequence(F.lit(0), F.lit(params.tables - 1)), "keys").alias("keys"))
+    now = keys.select("k1", F.posexplode("keys").alias("last", "value")).withColumn("table", F.col("last").cast("long"))
+    now = now.join(large.select("table", "value"), ["table", "value"], "left_semi").join(strong, "k1")
+    parts = []
+    for level in range(3):
+        now = materialise(now.select("table", "value", "last", "strong", "size", "k1"), "dedup-large")
+        state = materialise(bucket_state(now), "dedup-state")
+        cheap = (F.col("n") - F.col("most")) * F.ceil(F.col("n") / params.shard_rows) <= params.split * F.col("n")
+        parts.append(now.join(state.where(cheap) if level < 2 else state, ["table", "value"], "left_semi").drop("last"))
+        costly = state.where(~cheap)
+        if level == 2 or costly.isEmpty():
+            break
+        more = now.join(costly, ["table", "value"], "left_semi").where(F.col("last") < params.tables - 1).join(every, "k1")
+        more = more.withColumn("next", F.explode(F.sequence(F.col("last") + 1, F.lit(params.tables - 1))))
+        now = more.select((F.col("table") * params.tables + F.col("next") + params.tables).alias("table"), F.xxhash64("value", F.col("keys")[F.col("next")]).alias("value"), F.col("next").alias("last"), "strong", "size", "k1")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def completed(source: DataFrame, classes: DataFrame, links: DataFrame, large: DataFrame, params: DedupParams) -> DataFrame:
     """Verified links that connect every alike pair of candidates, not only those that are links themselves.
 
     What refused links hold together, but verified ones don't, is compared
-    exactly: groups that fit a shard all against all, larger ones by bucket.
+    exactly: groups that fit a shard all against all, larger ones by bucket; and
+    so are the members of large buckets that aren't connected.  In a bucket only
+    those outside its largest connected part ask the others.
     """
+    sets = shingle_table(source, links.select(F.col("a").alias("k1")).unionByName(links.select(F.col("b").alias("k1"))).distinct(), params)
     direct = materialise(verified(links, sets, params), "dedup-verified")
     joined = components(direct)
-    strong = materialise(sets.select("k1", F.size("set").alias("size")).join(joined, F.col("k1") == F.col("node"), "left").select("k1", "size", F.coalesce("component", "k1").alias("strong")), "dedup-strong")
+    strong = materialise(classes.select("k1", "size").join(joined, F.col("k1") == F.col("node"), "left").select("k1", "size", F.coalesce("component", "k1").alias("strong")), "dedup-strong")
     end = lambda name: strong.select(F.col("k1").alias(name), F.col("strong").alias(f"{name}_"))
     refused = links.join(end("a"), "a").join(end("b"), "b").where("a_ <> b_").select(F.least("a_", "b_").alias("a"), F.greatest("a_", "b_").alias("b")).distinct()
     groups = components(refused)  # without the smallest node of each
     groups = groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
     members = materialise(strong.join(groups, F.col("strong") == F.col("node")).select("k1", "size", "strong", F.col("component").alias("value")), "dedup-members")
-    large = members.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > params.shard_rows)
-    whole = members.join(large, "value", "left_anti").select(F.lit(-1).alias("table"), "value", "size", "strong", "k1")
-    keys = classes.select("k1", F.posexplode("keys").alias("table", "value"))
-    parts = members.join(large, "value", "left_semi").drop("value").join(keys, "k1").select("table", "value", "size", "strong", "k1")
-    rows = whole.unionByName(parts)
-    weight = rows.groupBy("table", "value").agg(F.count("*").alias("n"), F.sum("size").alias("weight"), F.min("strong").alias("lo"), F.max("strong").alias("hi")).where("lo < hi")
-    shards = F.ceil(F.greatest(F.col("n") / params.shard_rows, F.col("weight") / params.shard_shingles))
-    placed = rows.join(weight, ["table", "value"]).withColumn("own", F.pmod(F.xxhash64("k1"), shards).cast("int"))
-    dealt = placed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("own"))))
-    dealt = dealt.withColumn("role", F.when(F.col("shard") == F.col("own"), STORED).otherwise(ASKED))
-    order = ["table", "value", "shard", "role", "strong", "k1"]
-    dealt = dealt.join(sets, "k1").select(*order, "set").repartition("table", "value", "shard").sortWithinPartitions(*order)
-    more = dealt.mapInArrow(lambda batches: alike_links(batches, params), "a long, b long")
-    return direct.unionByName(more)
+    many = members.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > params.shard_rows)
+    names = ["table", "value", "strong", "size", "k1"]
+    rows = members.join(many, "value", "left_anti").withColumn("table", F.lit(-1).cast("long")).select(*names)
+    keys = classes.select("k1", F.posexplode("keys").alias("table", "value")).withColumn("table", F.col("table").cast("long"))
+    rows = rows.unionByName(members.join(many, "value", "left_semi").drop("value").join(keys, "k1").select(*names))
+    wide = not large.isEmpty()
+    if wide:
+        rows = rows.unionByName(unsearched(large, classes.select("k1", "keys"), strong, params).select(*names))
+    rows = materialise(rows.distinct(), "dedup-rows")
+    count = F.ceil(F.greatest(F.col("n") / params.shard_rows, F.col("weight") / params.shard_shingles)).cast("int")
+    placed = rows.join(bucket_state(rows), ["table", "value"]).withColumn("own", F.pmod(F.xxhash64("k1"), count).cast("int")).withColumn("asks", F.col("strong") != F.col("top"))
+    dealt = placed.withColumn("shard", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), count - 1)).otherwise(F.array("own"))))
+    dealt = materialise(dealt.withColumn("role", F.when(F.col("shard") == F.col("own"), STORED).otherwise(ASKED)).select("table", "value", "shard", "role", "asks", "strong", "k1"), "dedup-asked")
+    if wide:
+        missing = dealt.select("k1").distinct().join(sets, "k1", "left_anti")
+        sets = sets.unionByName(shingle_table(source, missing, params))
+    order = ["table", "value", "shard", "role", "asks", "strong", "k1"]
+    compared = dealt.join(sets, "k1").select(*order, "set").repartition("table", "value", "shard").sortWithinPartitions(*order)
+    return direct.unionByName(compared.mapInArrow(lambda batches: alike_links(batches, params), "a long, b long"))
 
 
 def deduplicate(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
@@ -499,26 +570,35 @@ def deduplicate(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFra
 
     Ties go to the smaller text hash, and of rows equal in both one stays; a row
     without id yields to any with one.  Texts without words are copies of each
-    other.  Texts are known by 128 bits of hash, and by 64 inside the link table.
+    other; extra columns stay, whatever their names.  Texts are known by 128 bits
+    of hash, and by 64 inside the link table.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("k1_", F.xxhash64(text)).withColumn("k2_", F.xxhash64(F.lit(7), text))
-    source = keyed.select(F.col("k1_").alias("k1"), F.col("k2_").alias("k2"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    first_id = F.coalesce(F.min("doc_id"), F.lit((1 << 63) - 1))
-    same = signatures(source, params).groupBy("k1", "k2").agg(first_id.alias("id"), *(F.first(f).alias(f) for f in ("f0", "f1", "f2", "f3", "keys")))
+    last = F.lit((1 << 63) - 1)
+    # the row is packed, so its columns' names meet no others
+    keyed = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    source = keyed.select("k1", "k2", "doc_id", "text")
+    same = signatures(source, params).groupBy("k1", "k2").agg(F.coalesce(F.min("doc_id"), last).alias("id"), *(F.first(f).alias(f) for f in ("f0", "f1", "f2", "f3", "keys", "size")))
     classes = materialise(same, "dedup-classes")
-    rows = classes.select(F.posexplode("keys").alias("table", "value"), "f0", "f1", "f2", "f3", F.col("k1").alias("rep"))
-    buckets = sharded(rows, ["f0", "f1", "f2", "f3", "rep"], params.shard_rows)
-    links = materialise(buckets.mapInArrow(lambda batches: nearest_links(batches, params), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "dedup-links")
-    wordless = classes.where(F.col("keys") == F.array_repeat(F.lit(0).cast("long"), params.tables)).select("k1")
+    rows = classes.where("size > 0").select(F.posexplode("keys").alias("table", "value"), "f0", "f1", "f2", "f3", F.col("k1").alias("rep")).withColumn("table", F.col("table").cast("long"))
+    pivot = F.min(F.struct("rep", "f0", "f1", "f2", "f3")).alias("pivot")
+    sizes = materialise(rows.groupBy("table", "value").agg(F.count("*").alias("members"), pivot).where(F.col("members") > params.shard_rows), "dedup-sizes")
+    large = sizes.where(F.col("members") > params.split * params.shard_rows)
+    links = materialise(candidates(rows, large, sizes, params), "dedup-links")
+    wordless = classes.where("size = 0").select("k1")
     anchor = wordless.agg(F.min("k1")).first()[0]  # one value
     blank = wordless.select(F.lit(anchor).cast("long").alias("a"), F.col("k1").alias("b"))
-    alike = completed(classes, links, shingle_table(source, links, params), params)
-    found = components(alike.unionByName(blank))
+    found = components(completed(source, classes, links, large, params).unionByName(blank))
     placed = classes.select("k1", "k2", "id").join(found, F.col("k1") == F.col("node"), "left").select("k1", "k2", "id", F.coalesce("component", "k1").alias("component"))
-    best = placed.groupBy("component").agg(F.min(F.struct("id", "k2", "k1")).alias("s")).select(F.col("s.id").alias("id"), F.col("s.k1").alias("k1"), F.col("s.k2").alias("k2"))
-    mine = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)) == F.col("id")
-    kept = keyed.join(best, (F.col("k1_") == F.col("k1")) & (F.col("k2_") == F.col("k2")) & mine)
-    one = Window.partitionBy("k1_", "k2_").orderBy(*(F.col(c) for c in docs.columns if c != "text" and docs.schema[c].dataType.typeName() != "map"))
-    return kept.withColumn("n_", F.row_number().over(one)).where("n_ = 1").select(*docs.columns)
+    best = placed.groupBy("component").agg(F.min(F.struct("id", "k2", "k1")).alias("s")).select(F.col("s.id").alias("doc_id"), F.col("s.k1").alias("k1"), F.col("s.k2").alias("k2"))
+    kept = keyed.select("row", "k1", "k2", F.coalesce("doc_id", last).alias("doc_id")).join(best, ["k1", "k2", "doc_id"])
+    one = Window.partitionBy("k1", "k2").orderBy(*tie_order(docs))
+    return kept.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
+
+
+def tie_order(docs: DataFrame) -> list[Column]:
+    """An order of rows packed in ``row`` that differ in columns beside the text."""
+    plain = [f.name for f in docs.schema if f.name != "text" and f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    nested = [f.name for f in docs.schema if f.dataType.typeName() in ("map", "array", "struct", "variant")]
+    return [*(F.col("row")[c] for c in plain), *([F.to_json(F.struct(*(F.col("row")[c].alias(c) for c in nested)))] if nested else []), F.lit(0)]

@@ -38,6 +38,66 @@ def test_fingerprints(documents, odd, none):
     assert fingerprints.fingerprint_documents(none).count() == 0
 
 
+def test_fingerprint_bits_and_likeness_by_brute_force(spark, documents):
+    """Every bit of the fingerprints, the likenesses and the neighbours, by plain code over the same term hashes."""
+    from skytrace.llm import textbatch as tb
+
+    p = fingerprints.SimHashParams()
+
+    def word_hash(w):
+        return int(tb.hash_spans(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]), 5)[0])
+
+    def mixed(x):
+        return int(tb.mix(np.array([x & (1 << 64) - 1], np.uint64))[0])
+
+    def plain(text):
+        words = text.encode().lower().split()
+        hashes = [word_hash(w) for w in words]
+        terms = [(h, p.word_weight) for w, h in zip(words, hashes) if len(w) >= p.long_word]
+        for i in range(max(1, len(words) - p.shingle + 1) if words else 0):
+            x = 0
+            for h in hashes[i : i + p.shingle]:
+                x = mixed(x * int(tb.M1) + h)
+            terms.append((x, p.shingle_weight))
+        out = 0
+        for half, salt in ((1, 1), (0, 2)):
+            votes = np.zeros(64)
+            for x, weight in terms:
+                bits = mixed(x + salt) >> np.arange(64, dtype=object) & 1
+                votes += np.where(bits.astype(bool), weight, -weight)
+            out |= sum(1 << k for k in range(64) if votes[k] > 0) << 64 * half
+        return out
+
+    texts = [r.text for r in documents.orderBy("doc_id").limit(12).collect()] + ["", "one two", "a b c d e", "internationalization"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    rows = {r.doc_id: r for r in fingerprints.fingerprint_documents(df).collect()}
+    own = [plain(t) for t in texts]
+    for i, t in enumerate(texts):
+        after = texts[i - 1]
+        half = len(t) // 2
+        changed = plain(t[: len(t) - half] + after[:half])
+        assert rows[i].fingerprint == f"{own[i]:032x}" and rows[i].edited_fingerprint == f"{changed:032x}"
+        assert rows[i].near_edited == 1 - (own[i] ^ changed).bit_count() / 128 and rows[i].near_next == 1 - (own[i] ^ own[i - 1]).bit_count() / 128
+        near = {f for f in own if f != own[i] and (f ^ own[i]).bit_count() <= p.radius}
+        assert rows[i].n_near == len(near) and rows[i].near_doc_id == min((k for k, f in enumerate(own) if f in near), default=None)
+
+
+def test_fingerprints_over_many_partitions(spark):
+    rows = [(i // 3 if i % 5 else None, f"text {i % 40} of some words and more {i % 7}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        got = sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in fingerprints.edited_fingerprints(df).select("doc_id", "n_chars", "edited_sha256").coalesce(8).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in fingerprints.edited_fingerprints(df).collect())
+
+
+def bit_words(x, n):
+    return tuple((w := x >> 64 * i & (1 << 64) - 1) - (1 << 64) * (w >> 63) for i in range(n))
+
+
 def test_near_counts_are_exact(spark):
     rnd = random.Random(4)
     centres = [rnd.getrandbits(128) for _ in range(6)]
@@ -48,12 +108,26 @@ def test_near_counts_are_exact(spark):
             for _ in range(rnd.randint(0, 4)):
                 x ^= 1 << rnd.randrange(128)
             fps.add(x)
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    df = spark.createDataFrame([(signed(x >> 64), signed(x & (1 << 64) - 1)) for x in fps], "high bigint, low bigint")
-    for shard in (2048, 16):
+    ids = {x: i for i, x in enumerate(sorted(fps))}
+    df = spark.createDataFrame([(*bit_words(x, 2)[::-1], i) for x, i in ids.items()], "high bigint, low bigint, doc_id bigint")
+    for shard in (2048, 16, 2):  # the smallest makes buckets split by further blocks
         rows = fingerprints.near_counts(df, fingerprints.SimHashParams(shard_rows=shard)).collect()
-        got = {((r.high & (1 << 64) - 1) << 64) | (r.low & (1 << 64) - 1): r.n_near for r in rows}
-        assert got == {a: n for a in fps if (n := sum((a ^ b).bit_count() <= 3 for b in fps) - 1)}
+        got = {((r.high & (1 << 64) - 1) << 64) | (r.low & (1 << 64) - 1): (r.n_near, r.near_doc_id) for r in rows}
+        assert got == {a: (len(n), min(n)) for a in fps if (n := [ids[b] for b in fps if a != b and (a ^ b).bit_count() <= 3])}
+
+
+def test_splitting_hot_buckets_is_linear(spark):
+    """A bucket of m fingerprints makes rows in proportion to m, not to its square."""
+    from pyspark.sql import functions as F
+
+    from skytrace.llm import hamming
+
+    tables = hamming.Tables(64, 4)
+    made = {}
+    for m in (1000, 4000):
+        df = spark.range(m).select(F.shiftright(F.xxhash64("id"), 13).bitwiseAND(F.lit((1 << 51) - 1)).alias("fp"), F.col("id").alias("rep"))
+        made[m] = hamming.dealt(df, tables, ["fp"], 8).count()
+    assert made[4000] < 6 * made[1000]
 
 
 def brute_components(rows, shingle=4, radius=4):
@@ -98,10 +172,8 @@ def test_near_duplicates(documents, odd, none):
 
 
 def test_bucket_layouts_find_all_links(spark):
-    from pyspark.sql import functions as F
-
     from skytrace.llm.components import components
-    from skytrace.llm.hamming import sharded
+    from skytrace.llm.hamming import dealt
 
     rnd = random.Random(9)
     fps = set()
@@ -113,14 +185,19 @@ def test_bucket_layouts_find_all_links(spark):
                 x ^= 1 << rnd.randrange(64)
     fps = sorted(fps)
     want = join(len(fps), ((i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4), list(range(len(fps))))
-    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x, i) for i, x in enumerate(fps)], "fp bigint, rep bigint")
-    for n, shard in ((1, 2048), (1, 8), (10**7, 2048)):
+    df = spark.createDataFrame([(*bit_words(x, 1), i) for i, x in enumerate(fps)], "fp bigint, rep bigint")
+    for n, shard, split in ((1, 2048, 8), (1, 8, 8), (1, 12, 1), (10**7, 12, 1)):
         params = neardup.NearDupParams(shard_rows=shard)
-        rows = sharded(neardup.table_rows(df, neardup.layout(n, params)), ["fp", "rep"], shard)
-        links = rows.mapInArrow(lambda b: neardup.bucket_links(b, 4), "a long, b long")
+        links = dealt(df, neardup.layout(n, params), ["fp"], shard, split).mapInArrow(lambda b: neardup.bucket_links(b, 4), "a long, b long")
         found = {r.node: r.component for r in components(links).collect()}
         assert [found.get(i, i) for i in range(len(fps))] == want
-    assert F.lit(1) is not None
+
+
+def test_large_ids_keep_their_component(spark):
+    rows = [(1 << 62, "same words here today"), ((1 << 63) - 1, "same words here today"), (-(1 << 63), "quite another text of five"), (None, "same words here today")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+    assert got == {1 << 62: 1 << 62, (1 << 63) - 1: 1 << 62, -(1 << 63): -(1 << 63), None: 1 << 62}
 
 
 @given(st.lists(st.integers(0, 2**16 - 1), min_size=1, max_size=60, unique=True), st.integers(0, 2**16 - 1), st.integers(0, 6))
@@ -178,10 +255,25 @@ def test_refused_forest_links_split_no_group(spark):
     sets = [shingles(t) for t in made]
     low = join(len(made), ((i, j) for i in range(len(made)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), list(range(len(made))))
     df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string").repartition(3)
-    for changed in ({}, {"shard_rows": 16}, {"shard_shingles": 2000}):
+    for changed in ({"shard_rows": 16, "shard_shingles": 2000}, {"shard_rows": 8, "split": 1, "hub_links": 4}):
         assert sorted(r.doc_id for r in neardup.deduplicate(df, neardup.DedupParams(**changed)).collect()) == sorted(set(low))
 
 
+def test_copies_near_the_limit_by_brute_force(spark):
+    """420 copies that are 0.75 to 0.85 alike, a passage that many share, and all clashing names."""
+    rnd = random.Random(21)
+    passage = " ".join(f"p{i}" for i in range(40))
+    made = [f"{passage} {t}" for _ in range(7) for t in edited_group(rnd, 60, 260, (4, 12))]
+    sets = [shingles(t) for t in made]
+    low = join(len(made), ((i, j) for i in range(len(made)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), list(range(len(made))))
+    names = ["id", "k1", "k2", "k1_", "k2_", "n", "n_", "id_", "hash_", "row", "size", "a", "component", "set", "table.value"]
+    df = spark.createDataFrame([(i, t, *["x"] * len(names)) for i, t in enumerate(made)], ["doc_id", "text", *names]).repartition(3)
+    for changed in ({}, {"shard_rows": 12, "split": 1}):
+        kept = neardup.deduplicate(df, neardup.DedupParams(**changed))
+        assert kept.columns == df.columns
+        assert sorted(r[0] for r in kept.collect()) == sorted(set(low))
+
+
 def test_repeated_passages_hide_no_copy(spark):
     rnd = random.Random(5)
     made = []
