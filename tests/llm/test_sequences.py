@@ -141,33 +141,59 @@ def test_forward_is_exact():
     assert hmm.forward(ids, lens, model) == pytest.approx([naive_log_likelihood(x, model) for x in np.split(ids, cuts)])
 
 
-def test_expected_counts_are_exact():
+def brute_counts(seqs, model):
     from itertools import product
 
-    rng = np.random.default_rng(2)
-    model = random_model(rng, 2, 3)
-    seqs = [np.array([0, 1, 2, 1]), np.array([2]), np.array([1, 1])]
-    emit, move, start = np.zeros((2, 3)), np.zeros((2, 2)), np.zeros(2)
+    k, v = len(model.start), len(model.emit)
+    emit, move, start, gain = np.zeros((v, k)), np.zeros((k, k)), np.zeros(k), 0.0
     for x in seqs:
         weight = {}
-        for path in product(range(2), repeat=len(x)):
+        for path in product(range(k), repeat=len(x)):
             p = model.start[path[0]] * model.emit[x[0], path[0]]
             for t in range(1, len(x)):
                 p *= model.move[path[t - 1], path[t]] * model.emit[x[t], path[t]]
             weight[path] = p
         total = sum(weight.values())
+        gain += math.log(total)
         for path, p in weight.items():
             start[path[0]] += p / total
             for t, s in enumerate(path):
-                emit[s, x[t]] += p / total
+                emit[x[t], s] += p / total
                 if t:
                     move[path[t - 1], s] += p / total
-    got = np.zeros((2, 3)), np.zeros((2, 2)), np.zeros(2)
-    hmm.expected_counts(np.concatenate(seqs), np.array([4, 1, 2]), model, *got)
-    for g, w in zip(got, (emit, move, start)):
+    return emit, move, start, gain
+
+
+def test_expected_counts_are_exact():
+    rng = np.random.default_rng(2)
+    model = random_model(rng, 2, 3)
+    seqs = [np.array([0, 1, 2, 1]), np.array([2]), np.array([1, 1])]
+    got = hmm.expected_counts(np.concatenate(seqs), np.array([4, 1, 2]), model, hmm.HmmParams())
+    for g, w in zip(got, brute_counts(seqs, model)):
         assert g == pytest.approx(w, abs=1e-4)
 
 
+def test_spans_count_as_whole_texts_do():
+    rng = np.random.default_rng(5)
+    model = random_model(rng, 4, 9)
+    lens = np.array([300, 7, 64, 65, 1, 128])
+    ids = rng.integers(0, 9, lens.sum())
+    whole = hmm.expected_counts(ids, lens, model, hmm.HmmParams())
+    for g, w in zip(hmm.expected_counts(ids, lens, model, hmm.HmmParams(span=64)), whole):
+        assert g == pytest.approx(w, rel=2e-3, abs=2e-3)
+
+
+def test_company_of_words_groups_texts():
+    rng = np.random.default_rng(1)
+    together = np.zeros((30, 30))
+    for g in range(3):
+        for _ in range(200):
+            seen = rng.choice(np.arange(10 * g, 10 * g + 10), 6, replace=False)
+            together[np.ix_(seen, seen)] += 1
+    of = np.argmax(hmm.group_weights(together, 3), axis=1)
+    assert [len(set(of[10 * g : 10 * g + 10])) for g in range(3)] == [1, 1, 1] and len(set(of)) == 3
+
+
 def brute_base(rows):
     texts, counts = [], Counter()
     for r in rows:
@@ -184,14 +210,73 @@ def brute_base(rows):
     return out
 
 
-def test_hmm_scores(documents, odd, none):
-    small = hmm.HmmParams(vocabulary=500, lookup=2000)
-    for df in (documents, odd):
-        rows = hmm.score(df, small).collect()
-        assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows) == brute_base(df.collect())
+def brute_scores(rows, params, anchors):
+    """The model's score of every text: the same training in plain arrays over the whole vocabulary."""
+    texts = [[*(w.decode() for w in (r.text or "").encode().lower().split()), None] for r in rows]
+    held = [hmm.is_held_out(r.doc_id, params) for r in rows]
+    counts = Counter(w for t, out in zip(texts, held) if not out for w in t)
+    own = sorted((w for w, c in counts.items() if c >= params.min_count), key=str)
+    at = {w: i for i, w in enumerate(own)}
+    n, v = sum(counts.values()), len(counts)
+    rare = sum(c + 1 for c in counts.values() if c < params.min_count) + 1
+    weights = np.array([counts[w] + 1 for w in own] + [rare]) / (n + v + 1)
+    ids = [np.array([at.get(w, len(own)) for w in t]) for t in texts]
+    k = params.states
+    hashes, votes = anchors
+    word_of = {}
+    for r in rows:
+        h, shape, first = hmm.tokens(*hmm.tb.utf8(hmm.pa.array([r.text or ""], hmm.pa.large_string())))
+        word_of[id(r)] = (h, shape)
+    emit, move, start = np.zeros((len(own) + 1, k)), np.zeros((k, k)), np.zeros(k)
+    for r, x, out in zip(rows, ids, held):
+        if out:
+            continue
+        h, shape = word_of[id(r)]
+        seen = np.array([(h == a).sum() for a in hashes])
+        group = int(np.argmax(seen @ votes)) if len(hashes) else 0
+        state = group * params.shapes + shape % params.shapes
+        np.add.at(emit, (x, state), 1)
+        np.add.at(move, (state[:-1], state[1:]), 1)
+        start[state[0]] += 1
+    model = hmm.Model.estimate(start, move, emit, emit.sum(axis=0), weights, params)
+    for _ in range(params.rounds):
+        train = [x for x, out in zip(ids, held) if not out]
+        emit, move, start, _ = hmm.expected_counts(np.concatenate(train), np.array(list(map(len, train))), model, params)
+        model = hmm.Model.estimate(start, move, emit, emit.sum(axis=0), weights, params)
+    out = []
+    for x, t in zip(ids, texts):
+        more = sum(math.log10((counts[w] + 1) / rare) for w in t if counts[w] < params.min_count)
+        out.append(hmm.forward(x, np.array([len(x)]), model)[0] / math.log(10) + more)
+    return out
+
+
+def test_hmm_scores(documents, odd, none, monkeypatch):
+    """Base and model scores against plain code, with most of the vocabulary outside the head and texts in many blocks."""
+    seen = []
+    original = hmm.text_groups
+    monkeypatch.setattr(hmm, "text_groups", lambda *a: seen.append(original(*a)) or seen[-1])
+    small = hmm.HmmParams(head=200, block_tokens=3000, rounds=2, tolerance=-math.inf)
+    for df in (documents.orderBy("doc_id").limit(120), odd):
+        df = df.repartition(3, "doc_id")
+        rows = df.collect()
+        found = hmm.score(df, small).collect()
+        assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in found) == brute_base(rows)
+        want = sorted(brute_scores(rows, small, seen[-1]))
+        assert sorted(r.score for r in found) == pytest.approx(want, rel=1e-3, abs=0.05)
     assert hmm.score(none).count() == 0
 
 
+def test_hmm_learns_nothing_from_held_out_rows(spark, documents):
+    p = hmm.HmmParams(rounds=1)
+    rows = documents.limit(60).collect()
+    made = [(r.doc_id, r.text if not hmm.is_held_out(r.doc_id, p) else "other words " * 50, r.lang if not hmm.is_held_out(r.doc_id, p) else "xx") for r in rows]
+    schema = "doc_id bigint, text string, lang string"
+    plain = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in rows], schema).coalesce(1)
+    changed = spark.createDataFrame(made, schema).coalesce(1)
+    a, b = ({r.doc_id: r.score for r in hmm.score(df, p).collect() if not r.held_out} for df in (plain, changed))
+    assert a == pytest.approx(b, rel=1e-6) and len(a) > 30
+
+
 def test_hmm_beats_the_base_on_held_out_text(documents):
     held = [r for r in hmm.score(documents).collect() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
