@@ -7,10 +7,13 @@ Documents under ``min_words`` are never judged by divergence, as their
 histograms are mostly noise, and for longer ones the distance that sampling
 alone produces is allowed on top of the threshold.
 
+References of the languages with most words are broadcast, ``broadcast_languages``
+at most; rows of any further language are joined with theirs.  The verdict is the
+same either way.
+
 Defined cases: a null or empty text has no words and fails the base rule; a
-null ``lang`` is a language of its own; a language with under
-``min_reference_words`` words in the corpus is compared to the pool of all
-languages; repeated rows are judged alike; extra columns stay.
+null ``lang`` is a language of its own, and every language, however rare, has its
+own reference; repeated rows are judged alike; extra columns stay.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skytrace.llm import textbatch as tb
-from skytrace.llm.common import prepare
+from skytrace.llm.common import extended, materialise, prepare, quoted
 
 
 @dataclass(frozen=True)
@@ -37,9 +40,8 @@ class QualityParams:
     max_char_distance: float = 0.30
     max_word_distance: float = 0.42
     noise_allowance: float = 0.2
-    min_reference_words: int = 2000
-    #: References sent to the executors; languages beyond the largest of these use the pool.
-    max_references: int = 4096
+    #: References sent to the executors; rows of further languages are joined with theirs (layout only).
+    broadcast_languages: int = 4096
 
 
 LOWER_CASE, UPPER_CASE, DIGIT, BLANK, SENTENCE, SYMBOL, OTHER_ASCII, NON_ASCII = range(8)
@@ -153,53 +155,41 @@ def corpus_histograms(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(count, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame, params: QualityParams) -> tuple[dict, tuple]:
-    """References of the largest languages, and the pooled one: (word keys, word shares, class shares)."""
-    from skytrace.llm.common import materialise
-
+def references(docs: DataFrame, params: QualityParams) -> DataFrame:
+    """(lang, words, entries) of every language: its words in all, and (kind, key, n) of its character classes and common words."""
     counts = materialise(corpus_histograms(docs), "quality-counts")
-    sizes = counts.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("words"))
-    largest = sizes.where(F.col("words") >= params.min_reference_words).orderBy(F.desc("words"), "lang").limit(params.max_references)
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-    chars = counts.where("kind = 0").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-
-    def top(words: DataFrame) -> DataFrame:
-        return words.where("kind = 1 and key <> 0").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= params.common_words).drop("rank")
-
-    pool = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(None).cast("string"))
-    pooled_words = pool.where("kind = 1 and key <> 0").orderBy(F.desc("n"), "key").limit(params.common_words).collect()
-    pooled_chars = pool.where("kind = 0").collect()
-    pooled_total = pool.where("kind = 1").agg(F.sum("n")).first()[0] or 0
-    totals = {r.lang: r.words for r in largest.collect()}
-    keep = F.col("lang").isin([x for x in totals if x is not None]) | (F.col("lang").isNull() if None in totals else F.lit(False))
-
-    def build(words: list, classes: list, total: int) -> tuple:
-        words = sorted(words, key=lambda r: r.key)
-        keys = np.array([r.key for r in words], np.int64)
-        n = np.array([r.n for r in words] + [total - sum(r.n for r in words)], float)
-        c = np.zeros(N_CLASSES)
-        for r in classes:
-            c[r.key] = r.n
-        return keys, _shares(n), _shares(c)
-
-    by_lang: dict = {x: ([], []) for x in totals}
-    for r in top(counts.where(keep)).collect():
-        by_lang[r.lang][0].append(r)
-    for r in chars.where(keep).collect():
-        by_lang[r.lang][1].append(r)
-    return {x: build(words, classes, totals[x]) for x, (words, classes) in by_lang.items()}, build(pooled_words, pooled_chars, pooled_total)
-
-
-def distances(data: np.ndarray, off: np.ndarray, base: dict, langs: list, refs: dict, pool: tuple, params: QualityParams) -> dict[str, np.ndarray]:
+    top = counts.where("kind = 1 and key <> 0").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= params.common_words).drop("rank")
+    total = counts.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("key"), "n")
+    entries = counts.where("kind = 0").unionByName(top).unionByName(total)
+    words = F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("words")
+    return materialise(entries.groupBy("lang").agg(words, F.collect_list(F.struct("kind", "key", "n")).alias("entries")), "quality-references")
+
+
+def reference(entries: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common words as integers in order, their shares and that of all others, and the shares of the classes."""
+    words = sorted((e["key"], e["n"]) for e in entries if e["kind"] == 1)
+    total = sum(e["n"] for e in entries if e["kind"] == 2)
+    classes = np.zeros(N_CLASSES)
+    for e in entries:
+        if e["kind"] == 0:
+            classes[e["key"]] = e["n"]
+    n = [float(c) for _, c in words]
+    return np.array([k for k, _ in words], np.int64), _shares(np.array([*n, total - sum(n)])), _shares(classes)
+
+
+def distances(data: np.ndarray, off: np.ndarray, base: dict, langs: list, refs: dict, params: QualityParams) -> dict[str, np.ndarray]:
     """Distance to the reference, and the limit it must not pass, by characters and by words."""
     n = len(off) - 1
     classes, keys = class_counts(data, off), short_words(data, base["starts"], base["ends"])
     out = {k: np.zeros(n) for k in ("char_distance", "word_distance", "char_limit", "word_limit")}
-    of_row = np.array([x if x in refs else "\0pool" for x in langs], dtype=object)
-    for name in dict.fromkeys(of_row.tolist()):
-        rows = np.flatnonzero(of_row == name)
-        known, word_shares, class_shares = refs.get(name, pool) if name != "\0pool" else pool
-        picked = np.concatenate([np.arange(base["first"][r], base["first"][r + 1]) for r in rows]) if len(rows) else np.zeros(0, np.int64)
+    rows_of: dict = {}
+    for i, name in enumerate(langs):
+        rows_of.setdefault(name, []).append(i)
+    for name, held in rows_of.items():
+        rows = np.array(held)
+        known, word_shares, class_shares = refs[name]
+        picked = np.concatenate([np.arange(base["first"][r], base["first"][r + 1]) for r in rows])
         lens = base["n_words"][rows]
         local = np.repeat(np.arange(len(rows)), lens)
         mine = keys[picked]
@@ -223,6 +213,16 @@ COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 NAMES = [x.split()[0] for x in COLUMNS.split(", ")]
 
 
+def judged(batch: pa.RecordBatch, data: np.ndarray, off: np.ndarray, refs: dict, params: QualityParams) -> list[pa.Array]:
+    langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
+    base = base_counts(data, off)
+    far = distances(data, off, base, langs, refs, params)
+    failed = (base["n_words"] < params.min_words) | (100 * base["n_repeat_words"] > params.max_repeat_percent * base["n_words"])
+    kept = ~failed & (far["char_distance"] <= far["char_limit"]) & (far["word_distance"] <= far["word_limit"])
+    new = [base["n_words"], base["word_chars"], base["n_symbols"], base["n_dup_lines"], base["n_repeat_words"], failed, far["char_distance"], far["word_distance"], kept]
+    return [pa.array(x) for x in new]
+
+
 def judge(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """``docs`` (any columns, with ``text`` and ``lang``) plus ``COLUMNS``.
 
@@ -230,19 +230,31 @@ def judge(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame
     """
     spark = docs.sparkSession
     prepare(spark)
-    refs, pool = spark.sparkContext.broadcast(references(docs, params)), None
+    found = references(docs, params)
+    largest = found.orderBy(F.desc("words"), "lang").limit(params.broadcast_languages).collect()
+    known = spark.sparkContext.broadcast({r["lang"]: reference([e.asDict() for e in r["entries"]]) for r in largest})
     rest = docs.drop(*NAMES)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_lang, pool = refs.value
         for batch, data, off in tb.slices(batches, "text"):
-            langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-            base = base_counts(data, off)
-            far = distances(data, off, base, langs, by_lang, pool, params)
-            failed = (base["n_words"] < params.min_words) | (100 * base["n_repeat_words"] > params.max_repeat_percent * base["n_words"])
-            kept = ~failed & (far["char_distance"] <= far["char_limit"]) & (far["word_distance"] <= far["word_limit"])
-            new = [base["n_words"], base["word_chars"], base["n_symbols"], base["n_dup_lines"], base["n_repeat_words"], failed, far["char_distance"], far["word_distance"], kept]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, new)], names=[*batch.schema.names, *NAMES])
-
-    return rest.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *judged(batch, data, off, known.value, params)], names=[*batch.schema.names, *NAMES])
+
+    if len(largest) < params.broadcast_languages or found.count() == len(largest):
+        return rest.mapInArrow(run, extended(rest, COLUMNS))
+    names = [r["lang"] for r in largest]
+    common = F.col("lang").isin([x for x in names if x is not None]) if None not in names else F.col("lang").isNull() | F.col("lang").isin([x for x in names if x is not None])
+    common = F.coalesce(common, F.lit(False))
+
+    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, off in tb.slices(batches, "text"):
+            langs, entries = batch.column(2).to_pylist(), batch.column(3)
+            where = {x: i for i, x in enumerate(langs)}
+            refs = {x: reference(entries[i].as_py()) for x, i in where.items()}
+            yield pa.RecordBatch.from_arrays([batch.column(0), *judged(batch, data, off, refs, params)], names=["row", *NAMES])
+
+    # the row is packed, so its columns' names meet no others
+    others = rest.where(~common).select(F.struct(*quoted(rest.columns)).alias("row"), "text", "lang")
+    r = found.select(F.col("lang").alias("of"), "entries")
+    joined = others.join(r, others["lang"].eqNullSafe(r["of"])).select("row", "text", "lang", "entries")
+    packed = joined.mapInArrow(run_joined, extended(others.select("row"), COLUMNS))
+    return rest.where(common).mapInArrow(run, extended(rest, COLUMNS)).unionByName(packed.select("row.*", *NAMES))

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skytrace.llm.common import prepare
+from skytrace.llm.common import extended, prepare
 from skytrace.llm.textbatch import slices
 
 KINDS = ("assign", "access", "hex", "entropy")
@@ -132,12 +133,21 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def covered(start: int, end: int, spans: list[tuple[int, int, str]]) -> bool:
-    """Whether ``spans``, by start, together hold all from ``start`` to ``end``."""
+def unions(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """What ``spans``, by start, cover, as stretches that don't touch."""
+    out: list[tuple[int, int]] = []
     for s, e, _ in spans:
-        if s <= start < e:
-            start = e
-    return start >= end
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def covered(start: int, end: int, stretches: list[tuple[int, int]]) -> bool:
+    """Whether one of the stretches, which are in order, holds all from ``start`` to ``end``."""
+    at = bisect_right(stretches, (start, math.inf)) - 1
+    return at >= 0 and end <= stretches[at][1]
 
 
 def find_secrets(text: str, params: SecretParams = SecretParams()) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
@@ -145,12 +155,13 @@ def find_secrets(text: str, params: SecretParams = SecretParams()) -> tuple[list
     base = base_spans(text)
     allow = [re.compile(x) for x in params.allow]
     spans = list(base)
+    stretches = unions(base)
     for m in CANDIDATE.finditer(text):
         if m.end() - m.start() < params.window or any(a.search(m[0]) for a in allow):
             continue
         for s, e in entropy_spans(m[0], params):
             s, e = s + m.start(), e + m.start()
-            if not covered(s, e, base):
+            if not covered(s, e, stretches):
                 spans.append((s, e, "entropy"))
     return base, sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
@@ -176,7 +187,7 @@ def scan(docs: DataFrame, params: SecretParams = SecretParams(), redact: bool =
     """
     prepare(docs.sparkSession)
     rest = docs.drop(*NAMES)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), COLUMNS])
+    schema = extended(rest, COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text"):

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skytrace.llm.common import prepare
+from skytrace.llm.common import extended, prepare
 from skytrace.llm.textbatch import slices
 
 MARK = "▁"
@@ -226,7 +226,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     """``docs`` (any columns, with ``text``) plus ``COLUMNS``; input columns of these names are replaced."""
     prepare(docs.sparkSession)
     rest = docs.drop(*NAMES)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), COLUMNS])
+    schema = extended(rest, COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, off in slices(batches, "text", 4 << 20):
