@@ -2,22 +2,25 @@
 
 Targets: the sources, in code-point order with null last, carry the weights in
 turn and share ``budget`` times all words; a target stops at ``cap`` times its
-source's size and the excess is shared again by weight (water filling).
+source's size and the excess is shared again by weight (water filling).  Sources
+are numbered range by range and shared out by sums, so there may be any number.
 
 Rates: among all rates between 0 and ``cap`` that meet a source's token
 constraint, entropy balancing takes those nearest to one copy of each document
 in relative entropy.  Its convex dual has one multiplier per source, and the
 rates are exponential tilts, ``min(cap, exp(multiplier * size / mean size))``.
 Newton steps, each one distributed aggregation over the (source, size) table
-and all sources at once, find the multipliers; a bracket keeps them safe.
+and all sources at once, find the multipliers; a bracket keeps them safe.  Not to
+converge is an error.
 
 Copies: each source's documents are dealt into buckets by hash and rounded
 there from the largest to the smallest, carrying the rest on, so a bucket ends
-within about the size of its smallest documents of its share.  Nothing is drawn
-at random: reruns agree.
+within about the size of its smallest documents of its share.  Equal rows are
+dealt as one with a number, cut into chunks, so they too fill many buckets.
+Nothing is drawn at random: reruns agree.
 
 Defined cases: null and empty texts have size 0 and add nothing; a null source
-is a source; repeated rows are rounded each for itself; a table without words
+is a source; equal rows share what is taken of them; a table without words
 takes nothing; extra columns stay in ``mix``.
 """
 
@@ -31,8 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skytrace.llm.common import materialise, prepare
+from skytrace.llm.common import extended, materialise, prepare, quoted
 
+#: Multipliers lie within this of zero.
+FAR = 1e12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -42,8 +47,8 @@ class MixParams:
     budget: float = 1.5
     cap: int = 2
     tolerance: float = 1e-7
-    max_steps: int = 60
-    #: Documents of a source in a rounding bucket, on average.
+    max_steps: int = 200
+    #: Documents of a source in a rounding bucket, on average, and equal rows in a chunk.
     bucket_rows: int = 2_000
 
 
@@ -51,32 +56,35 @@ def with_size(docs: DataFrame) -> DataFrame:
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
 
 
+def numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` (one row each) plus ``turn``, from 0 in code-point order with null last."""
+    ranged = materialise(sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("range", F.spark_partition_id()), "mix-sources")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = ranged.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last())) - 1
+    return ranged.withColumn("inside", inside).join(offsets, "range").withColumn("turn", F.col("before") + F.col("inside")).drop("range", "inside", "before")
+
+
 def targets(sizes: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """(source, source_size, docs, target): water filling over one row per source."""
-    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
+    """(source, source_size, docs, target) by water filling.
+
+    All sources that a common level a weight would fill are full; the rest of the
+    budget is shared among the others, until that fills no more of them.
+    """
     n = len(params.weights)
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = F.row_number().over(order) - 1
-    weight: Column = F.lit(float(params.weights[-1]))
-    for k in range(n - 1):
-        weight = F.when(F.col("turn") % n == k, F.lit(float(params.weights[k]))).otherwise(weight)
-    rows = by_source.withColumn("turn", turn).withColumn("weight", weight).withColumn("most", F.col("source_size") * F.lit(float(params.cap)))
-    # a source is full once the level reaches most / weight: full ones are a prefix in that order
-    rising = Window.orderBy(F.col("most") / F.col("weight"), "turn")
-    everything = Window.partitionBy()
-    before = rising.rowsBetween(Window.unboundedPreceding, -1)
-    rows = (
-        rows.withColumn("total", F.sum("source_size").over(everything) * F.lit(params.budget))
-        .withColumn("used", F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-        .withColumn("left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-        .withColumn("level", (F.col("total") - F.col("used")) / F.col("left"))
-        .withColumn("full", F.col("level") * F.col("weight") >= F.col("most"))
-    )
-    # the level at the first source that isn't full is the level of all after it
-    level = F.min(F.when(~F.col("full"), F.struct((F.col("most") / F.col("weight")).alias("at"), "turn", "level"))).over(everything)
-    return rows.withColumn("level", level["level"]).select(
-        "source", "source_size", "docs", F.when(F.col("full") | F.col("level").isNull(), F.col("most")).otherwise(F.least(F.col("level") * F.col("weight"), F.col("most"))).alias("target")
-    )
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in params.weights)), (F.col("turn") % n + 1).cast("int"))
+    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
+    rows = materialise(numbered(by_source).withColumn("weight", weight).withColumn("most", F.col("source_size") * F.lit(float(params.cap))), "mix-weights")
+    zero = F.lit(0.0)
+    total = (rows.agg(F.sum("source_size")).first()[0] or 0) * params.budget
+    level, full = 0.0, -1
+    while True:
+        is_full = F.col("most") <= F.lit(level) * F.col("weight")
+        sums = rows.agg(F.coalesce(F.sum(F.when(is_full, F.col("most"))), zero), F.coalesce(F.sum(F.when(~is_full, F.col("weight"))), zero), F.count_if(is_full)).first()
+        if sums[2] == full or not sums[1]:
+            break
+        full, level = sums[2], (total - sums[0]) / sums[1]
+    return rows.select("source", "source_size", "docs", F.when(is_full, F.col("most")).otherwise(F.least(F.lit(level) * F.col("weight"), F.col("most"))).alias("target"))
 
 
 def multipliers(sizes: DataFrame, goals: DataFrame, params: MixParams) -> DataFrame:
@@ -93,8 +101,8 @@ def multipliers(sizes: DataFrame, goals: DataFrame, params: MixParams) -> DataFr
             open_.alias("open"),
             (F.col("source_size") / F.greatest("docs", F.lit(1))).alias("mean"),
             F.lit(0.0).alias("multiplier"),
-            F.lit(-1e6).alias("low"),
-            F.lit(1e6).alias("high"),
+            F.lit(-FAR).alias("low"),
+            F.lit(FAR).alias("high"),
         ),
         "mix-state",
     )
@@ -116,8 +124,12 @@ def multipliers(sizes: DataFrame, goals: DataFrame, params: MixParams) -> DataFr
         low = F.when(gap < 0, F.col("multiplier")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("multiplier")).otherwise(F.col("high"))
         newton = F.col("multiplier") - gap / F.when(F.col("slope") > 0, F.col("slope"))
-        newton = F.greatest(F.least(newton, F.col("multiplier") + 2.0), F.col("multiplier") - 2.0)
-        inside = F.when((newton > low) & (newton < high), newton).otherwise((F.greatest(low, F.col("multiplier") - 4.0) + F.least(high, F.col("multiplier") + 4.0)) / 2)
+        # where Newton leaves the bracket: its middle, or further and further out while one side is open
+        stride = F.abs("multiplier") + 4.0
+        up = F.when(high < FAR, (F.col("multiplier") + high) / 2).otherwise(F.col("multiplier") + stride)
+        down = F.when(low > -FAR, (F.col("multiplier") + low) / 2).otherwise(F.col("multiplier") - stride)
+        trusted = (newton > low) & (newton < high) & (F.abs(newton - F.col("multiplier")) <= stride)
+        inside = F.when(trusted, newton).when(gap < 0, up).otherwise(down)
         moves = F.col("open") & F.col("takes").isNotNull() & ~near
         state = materialise(
             step.select(
@@ -135,12 +147,18 @@ def multipliers(sizes: DataFrame, goals: DataFrame, params: MixParams) -> DataFr
         )
         if state.where("open").isEmpty():
             break
+    else:
+        raise RuntimeError(f"the multipliers of some sources did not settle in {params.max_steps} steps")
     return state.select("source", "source_size", "docs", "target", "mean", "multiplier")
 
 
-def copies(sizes: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """``sizes`` (row_id, doc_id, source, size) plus source_size, target, rate and copies."""
+def dealt(sizes: DataFrame, params: MixParams) -> DataFrame:
+    """Chunks of equal rows of ``sizes`` (doc_id, source, size, ...): plus source_size, target, rate, ``rows`` and their ``copies`` together."""
     prepare(sizes.sparkSession)
+    names = sizes.columns
+    groups = sizes.groupBy(*names).agg(F.count("*").alias("rows"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / params.bucket_rows)))
+    chunks = groups.withColumn("chunk", chunk).withColumn("rows", F.least(F.col("rows") - F.col("chunk") * params.bucket_rows, F.lit(params.bucket_rows)))
     solved = multipliers(sizes, targets(sizes, params), params)
     cap = F.lit(float(params.cap))
     full = F.col("target") >= F.col("source_size") * cap * F.lit(1 - 1e-12)
@@ -148,45 +166,53 @@ def copies(sizes: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     rate = F.when(F.col("size") == 0, F.lit(1.0)).when(full, cap).when(F.col("target") <= 0, F.lit(0.0)).otherwise(tilt)
     buckets = F.ceil(F.col("docs") / params.bucket_rows)
     rated = (
-        sizes.join(solved.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        chunks.join(solved.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         .withColumn("rate", rate)
-        .withColumn("bucket", F.pmod(F.xxhash64(F.col("doc_id"), F.col("size")), buckets))
-        .select(*sizes.columns, "source_size", "target", "rate", "bucket")
+        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "chunk"), buckets))
+        .select(*names, "chunk", "rows", "source_size", "target", "rate", "bucket")
     )
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rated.schema if f.name != "bucket"), "copies long"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: tuple | None = None
         owed = 0.0
         for batch in batches:
-            sources, bucket, size, rates = (batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("source", "bucket", "size", "rate"))
+            sources, bucket, size, rows, rates = (batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("source", "bucket", "size", "rows", "rate"))
             out = []
-            for s, b, n, r in zip(sources, bucket, size, rates, strict=True):
+            for s, b, n, m, r in zip(sources, bucket, size, rows, rates, strict=True):
                 if (s, b) != at:
                     at, owed = (s, b), 0.0
-                owed += n * r
-                k = min(max(int(owed / n + 0.5), 0), params.cap) if n else 1
+                owed += n * m * r
+                k = min(max(int(owed / n + 0.5), 0), params.cap * m) if n else m
                 owed -= n * k
                 out.append(k)
-            rest = [i for i, x in enumerate(batch.schema.names) if x != "bucket"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(out, pa.int64())], names=[*(batch.schema.names[i] for i in rest), "copies"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "copies"])
 
-    ordered = [F.col("source"), F.col("bucket"), F.col("size").desc(), *(F.col(x) for x in sizes.columns if x not in ("source", "size"))]
-    return rated.repartition("source", "bucket").sortWithinPartitions(*ordered).mapInArrow(deal, schema)
+    ordered = [F.col("source"), F.col("bucket"), F.col("size").desc(), *(F.col(x) for x in names if x not in ("source", "size")), F.col("chunk")]
+    return rated.repartition("source", "bucket").sortWithinPartitions(*ordered).mapInArrow(deal, extended(rated, "copies long"))
+
+
+def copies(sizes: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+    """``sizes`` (doc_id, source, size, ...) plus source_size, target, rate and copies; equal rows differ by one copy at most in a chunk."""
+    each = dealt(sizes, params).withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    mine = F.floor((F.col("copies") + F.col("row")) / F.col("rows")).cast("long")
+    return each.select(*sizes.columns, "source_size", "target", "rate", mine.alias("copies"))
 
 
 def mix(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it (0 to ``cap`` times)."""
-    light = materialise(with_size(docs).select("doc_id", "source", "size", F.xxhash64("text").alias("text_hash")), "mix-light")
-    dealt = copies(light, params)
-    # rows that agree in id, source and text share their copies
-    per_key = dealt.groupBy("doc_id", "source", "text_hash").agg(F.sum("copies").alias("copies_"), F.count("*").alias("rows_"))
-    keyed = docs.withColumn("hash_", F.xxhash64("text"))
-    k = per_key.select(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), F.col("text_hash").alias("text_hash_"), "copies_", "rows_")
-    joined = keyed.join(k, keyed["doc_id"].eqNullSafe(k["id_"]) & keyed["source"].eqNullSafe(k["source_"]) & keyed["hash_"].eqNullSafe(k["text_hash_"]))
-    # equal rows are told apart only by number: each of r rows takes floor((c + i) / r) copies, which add up to c
-    plain = joined.where("rows_ = 1").withColumn("take_", F.col("copies_"))
-    again = joined.where("rows_ > 1").withColumn("i_", F.row_number().over(Window.partitionBy("id_", "source_", "text_hash_").orderBy(F.lit(1))) - 1)
-    again = again.withColumn("take_", F.floor((F.col("copies_") + F.col("i_")) / F.col("rows_"))).drop("i_")
-    every = plain.unionByName(again)
-    return every.where("take_ > 0").withColumn("copy_", F.explode(F.array_repeat(F.lit(1), F.col("take_").cast("int")))).select(*docs.columns)
+    """``docs`` with every row as often as the mix takes it (0 to ``cap`` times), whatever its columns' names.
+
+    A row is known by a hash of all its columns (but maps); of rows that agree in it one stands for all.
+    """
+    hashed = [c for c, f in zip(quoted(docs.columns), docs.schema) if f.dataType.typeName() not in ("map", "variant")]
+    packed = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.xxhash64(*hashed).alias("h1"), F.xxhash64(F.lit(3), *hashed).alias("h2"), "doc_id", "source", "text")
+    light = materialise(with_size(packed).select("doc_id", "source", "size", "h1", "h2"), "mix-light")
+    taken = materialise(dealt(light, params).where("copies > 0").select("h1", "h2", "rows", "chunk", "copies"), "mix-taken")
+    every = packed.select("row", "h1", "h2")
+    again = taken.where("rows > 1 or chunk > 0").select("h1", "h2").distinct()
+    if again.isEmpty():
+        out = every.join(taken, ["h1", "h2"])
+    else:
+        alone = every.join(again, ["h1", "h2"], "left_anti").join(taken, ["h1", "h2"])
+        first = every.join(again, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("row").alias("row"))
+        out = alone.unionByName(first.join(taken, ["h1", "h2"]).select(*alone.columns))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

@@ -108,8 +108,51 @@ def cut(piece: tuple, at: int) -> tuple[tuple, tuple]:
 _encoders: dict[str, tuple] = {}
 
 
+def byte_of_char() -> dict[str, int]:
+    """The printable stand-ins that byte-level BPE vocabularies use for bytes."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {chr(b): b for b in printable}
+    return out | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(printable))}
+
+
+def plain_ranks(file: dict) -> dict[bytes, int] | None:
+    """Ranks of a vocabulary file's byte strings if nothing but byte-level BPE in the order of its ids is asked for; else None.
+
+    Checked: no normalizer; byte-level pre-tokens by the usual pattern, without a
+    space put before; no dropout, unknown token, affix or byte fallback; every
+    string of several bytes is what one merge makes, ids rise with the merges, and
+    under them the string's own bytes merge by that merge last.
+    """
+    model, before = file["model"], file["pre_tokenizer"] or {}
+    odd = model.get("dropout") or model.get("unk_token") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("byte_fallback") or model.get("ignore_merges")
+    if file["normalizer"] or odd or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return None
+    special = {t["content"] for t in file["added_tokens"]}
+    if special != {SPECIAL}:
+        return None
+    of_char = byte_of_char()
+    try:
+        ranks = {bytes(of_char[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+    except KeyError:
+        return None
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+    if any(x >= y for x, y in zip(made, made[1:])) or made[:1] == [-1] or len(made) + 256 != len(ranks) or any(bytes([b]) not in ranks for b in range(256)):
+        return None
+    for (a, b), rank in zip(pairs, made):
+        parts = [bytes([x]) for c in a + b for x in [of_char[c]]]
+        while len(parts) > 2:
+            at = min((r, i) for i in range(len(parts) - 1) if (r := ranks.get(parts[i] + parts[i + 1], rank)) < rank or i == 0)[1]
+            if ranks.get(parts[at] + parts[at + 1], rank) >= rank:
+                return None
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if parts != [bytes(of_char[c] for c in x) for x in (a, b)]:
+            return None
+    return ranks
+
+
 def encoder(path: str) -> tuple:
-    """(fast, exact): both give the ids of the vocabulary at ``path`` (byte-level BPE, ``tokenizers`` format)."""
+    """(fast, exact): both give the ids of the vocabulary at ``path`` (``tokenizers`` format); fast is None unless ``plain_ranks`` allows it."""
     if path not in _encoders:
         import json
 
@@ -117,21 +160,17 @@ def encoder(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
-        # the printable stand-ins that byte-level BPE vocabularies use for bytes
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        of_char = {chr(b): b for b in printable}
-        of_char |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(printable))}
-        ranks = {bytes(of_char[c] for c in token): i for token, i in vocab.items() if token != SPECIAL}
+            ranks = plain_ranks(json.load(f))
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        _encoders[path] = (tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), Tokenizer.from_file(path))
+        fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+        _encoders[path] = (fast, Tokenizer.from_file(path))
     return _encoders[path]
 
 
 def encode(text: str, path: str) -> np.ndarray:
     """Ids of ``text`` without added special tokens; the vocabulary's special string, if inside, is its own id."""
     fast, exact = encoder(path)
-    if SPECIAL in text:
+    if fast is None or SPECIAL in text:
         return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
     return np.array(fast.encode_ordinary(text), "<u4")
 
