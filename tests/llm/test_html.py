@@ -30,30 +30,65 @@ def test_odd_pages():
     assert text("<p>1 < 2 and a<b") in ("1 < 2 and a", "1 < 2 and a<b")
 
 
-def test_host_boilerplate_goes_and_copies_stay():
-    notice = "subscribe to our weekly letter and never miss any of our stories again"
-    rng = np.random.default_rng(0)
+def test_names_mark_as_a_whole():
+    page = """<article><p class=it's>one</p><div class="social-history"><p>two</p></div><section id="related-work"><p>three</p></section><div class="ad-slot x">buy</div>
+    <div id="comment_list"><p>nice</p></div><div class="cookie-banner">cookies</div><p title="a>b" data-x='c>d'>four</p></article>"""
+    assert text(page) == "one two three four"
+
+
+NOTICE = "subscribe to our weekly letter and never miss any of our stories again"
+
+
+def made_pages(rng, n, wrap, notice=NOTICE, words=30):
     word = lambda: "w" + str(rng.integers(10**6))
-    pages = [[" ".join(word() for _ in range(30)), notice, " ".join(word() for _ in range(20))] for _ in range(20)]
-    out = html.clean_host(pages, html.HtmlParams())
-    assert out == [" ".join([p[0], p[2]]) for p in pages]
-    same = [["exactly the same article stands on each of these many pages of one host"]] * 20
-    assert html.clean_host(same, html.HtmlParams()) == [p[0] for p in same]
-    assert html.clean_host(pages[:5], html.HtmlParams()) == [" ".join(p) for p in pages[:5]]
+    return [(" ".join(word() for _ in range(words)), notice, " ".join(word() for _ in range(20)), wrap) for _ in range(n)]
 
 
-def test_repeated_tokens_by_brute_force():
+def page(parts):
+    a, notice, b, wrap = parts
+    return wrap.format(f"<p>{a}</p><p>{notice}</p><p>{b}</p>")
+
+
+def test_the_suffix_array_alone_decides(spark, tmp_path):
+    """Through the query: unmarked boilerplate that only repeats over a host's pages tell."""
+    from skytrace.llm import queries
+
+    rng = np.random.default_rng(0)
+    body, article = "<html><body>{}</body></html>", "<html><body><article>{}</article></body></html>"
+    on_all, on_few, on_some, short = made_pages(rng, 20, article), made_pages(rng, 20, article), made_pages(rng, 20, body), made_pages(rng, 6, body, words=9)
+    on_few = [p if i < 6 else (p[0], "", *p[2:]) for i, p in enumerate(on_few)]  # a passage that some articles share stays
+    on_some = [p if i < 8 else (p[0], "", *p[2:]) for i, p in enumerate(on_some)]
+    short = [(a, f"{n} {n} {n} {n}", "", w) for a, n, _, w in short]  # boilerplate is most of the page
+    few = made_pages(rng, 3, body)  # under min_pages
+    copies = [("exactly the same article stands on each of these many pages of one host", "", "", body)] * 20
+    edited = []  # near copies: no unique run of eight tokens
+    for i in range(12):
+        w = [f"e{k}" for k in range(60)]
+        w[5 * i] = f"x{i}"
+        edited.append((" ".join(w), "", "", body))
+    sites = [on_all, on_few, on_some, short, few, copies, edited]
+    joined = lambda parts: " ".join(x for x in parts if x)
+    plain = lambda p: joined(p[:3])
+    want = [[joined([p[0], p[2]]) for p in on_all], [plain(p) for p in on_few], [joined([p[0], p[2]]) for p in on_some], [p[0] for p in short], *([plain(p) for p in x] for x in (few, copies, edited))]
+    rows = [(100 * s + i, f"http://h{s}.x/{i}", page(p)) for s, site in enumerate(sites) for i, p in enumerate(site)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    df.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    expected = {100 * s + i: t for s, x in enumerate(want) for i, t in enumerate(x)}
+    assert {r.page_id: r.text for r in queries.op4_html_extraction(spark, str(tmp_path)).collect()} == expected
+    for changed in ({"broadcast_rows": 0}, {"shard_pages": 10}):
+        assert {r.page_id: r.text for r in html.extract(df, html.HtmlParams(**changed)).collect()} == expected
+
+
+def test_repeats_by_brute_force():
     rng = np.random.default_rng(3)
-    p = html.HtmlParams(min_tokens=3, min_pages=3, min_share=0.2)
     for _ in range(20):
         streams = [rng.integers(0, 4, rng.integers(0, 15)).astype(np.uint64) for _ in range(10)]
         where = {}
         for i, s in enumerate(streams):
             for k in range(len(s) - 2):
-                where.setdefault(tuple(s[k : k + 3]), set()).add(i)
-        for s, cover in zip(streams, html.repeated_tokens(streams, p)):
-            want = [any(len(where[tuple(s[j : j + 3])]) >= 3 for j in range(max(0, k - 2), min(k, len(s) - 3) + 1)) for k in range(len(s))]
-            assert cover.tolist() == want
+                where.setdefault(int(html.window_hashes(s, np.array([k]), 3)[0]), set()).add(i)
+        found, pages = html.repeats(streams, 3)
+        assert dict(zip(found.tolist(), pages.tolist())) == {h: len(p) for h, p in where.items()}
 
 
 def test_pages(spark, sf):
