@@ -1,32 +1,30 @@
-"""Language-model scoring with a hidden Markov model over all words of the training texts.
+"""Language-model scoring with a hidden Markov model.
 
 Learning.  Texts are lower-cased (A-Z) and cut into words, each text closed by
-one end token.  Every token seen ``min_count`` times or more has emission
-probabilities of its own, however many there are; rarer ones share a symbol,
-which carries a distribution over them with one unit for any unseen word.  Latent
-states start from a hard labelling (group of the text, shape of the word) and are
-trained by Baum-Welch: tasks run forward-backward over their texts, expected
-counts are summed across partitions, and probabilities are estimated again, until
-a round gains less than ``tolerance`` a token or after ``rounds``.  Nothing is
-learned from held-out rows.
+one end token.  All tokens of the training texts are counted, exactly and over the
+whole corpus.  The most frequent ones, ``vocabulary`` at most, have emission
+probabilities of their own in every state.  Any other word's are those of its
+ending (``endings`` classes of the last three bytes, a bound of the model's size
+that no word is left out by), times its own share of the class by corpus counts,
+with one unit in each class for unseen words.  Latent states start from a hard
+labelling (group of the text, shape of the word) and are trained by Baum-Welch:
+tasks run forward-backward over their texts, expected counts are summed across
+partitions, and the driver, which holds only tables of states by symbols,
+estimates again, until a round gains less than ``tolerance`` a token or after
+``rounds``.  Nothing is learned from held-out rows.
 
 Groups.  The most frequent words keep company in texts: their common occurrences
 are counted over all training texts, and clusters of them group the texts.
 
-Layout.  A scan writes blocks of texts: token numbers and the block's distinct
-hashes.  Hash space is cut into shares.  The ``head`` most frequent tokens, a
-bounded number, have their probabilities broadcast.  For all others a block sends
-expected counts of its distinct tokens to their shares, packed, and each share sums
-them and answers with new probabilities.  Which tokens are in the head changes
-no result beyond rounding.
-
 Long texts are trained on in cores of ``span`` tokens; ``margin`` tokens on either
 side are read along so that the states at a core's ends are known, but not
 counted.  Scoring runs the scaled forward recursion over the whole text, never cut.
 
-Words are identified by 64-bit hashes.  Defined cases: a null or empty text is its
-end token; a null ``doc_id`` counts as empty text in the split; repeated rows train
-and score each for itself; an empty table gives no rows; extra columns are not carried.
+Words are identified by 64-bit hashes.  Counts of the most frequent, ``lookup`` at
+most, go to the executors; texts' other words are joined with the count table
+(layout only).  Defined cases: a null or empty text is its end token; a null
+``doc_id`` counts as empty text in the split; repeated rows train and score each
+for itself; an empty table gives no rows; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -38,19 +36,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytrace.llm import textbatch as tb
-from skytrace.llm.common import materialise, prepare, release, shuffle_partitions
+from skytrace.llm.common import materialise, prepare
 
 
 @dataclass(frozen=True)
 class HmmParams:
     groups: int = 4
     shapes: int = 3
-    #: Tokens whose probabilities are broadcast, at most (layout only).
-    head: int = 131_072
+    vocabulary: int = 32_768
+    endings: int = 16_384
+    lookup: int = 524_288
     #: Most frequent tokens whose company groups the texts.
     anchors: int = 128
     #: Tokens seen less often have no symbol of their own: they teach how likely a state is to emit unseen ones.
@@ -65,10 +64,8 @@ class HmmParams:
     transition_prior: float = 1.0
     modulus: int = 7
     held_out: int = 2
-    #: Tokens of a block; a longer text is a block of its own.
-    block_tokens: int = 1_000_000
-    #: Entries of a share, on average.
-    share_entries: int = 4_000_000
+    #: Tokens that a worker has in hand when it trains or scores.
+    batch_tokens: int = 1_000_000
 
     @property
     def states(self) -> int:
@@ -79,15 +76,23 @@ END = np.uint64(0x1D5C0A7E5EED0001)
 SEED = 10
 #: Units of an expected count in the exact sums.
 UNIT = 1 << 16
-TOKENS, ANSWER, SUMS = 0, 1, 2
 
 
 def is_held_out(doc_id: int | None, params: HmmParams) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % params.modulus == params.held_out
 
 
-def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes of all texts, each text's end included; shapes; and offsets by text."""
+@dataclass
+class Tokens:
+    """Tokens of all texts in a row, each text's end included; ``first`` has where each text's begin (one more at the end)."""
+
+    hashes: np.ndarray
+    shapes: np.ndarray
+    endings: np.ndarray
+    first: np.ndarray
+
+
+def tokens(data: np.ndarray, off: np.ndarray, params: HmmParams) -> Tokens:
     low = tb.LOWER[data]
     starts, ends, first = tb.words(low, off)
     count = np.diff(first)
@@ -97,181 +102,166 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     shape = np.ones(len(out), np.uint8)
     last, head = data[ends - 1], data[starts]
     shape[at] = np.where((last == 46) | (last == 33) | (last == 63), 1, np.where((head >= 65) & (head <= 90), 2, 0))
-    return out, shape, first + np.arange(len(first))
-
-
-BLOCK = "block long, doc_ids array<bigint>, held array<boolean>, lens array<bigint>, codes binary, shapes binary, hashes binary, trained binary"
-
+    ending = np.zeros(len(out), np.int64)
+    tail = np.maximum(starts, ends - 3)
+    ending[at] = (tb.hash_spans(low, tail, ends - tail, SEED + 1) % np.uint64(params.endings)).astype(np.int64)
+    return Tokens(out, shape, ending, first + np.arange(len(first)))
 
-def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
-    """Rows of simple types as a batch."""
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.large_binary(), "double": pa.float64(), "array<bigint>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
-    fields = [x.split() for x in schema.split(", ")]
-    columns = list(zip(*rows)) if rows else [[]] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
-
-def blocks(docs: DataFrame, params: HmmParams) -> DataFrame:
-    """Texts as blocks: lengths, token numbers and shapes; distinct hashes in order, and how often each is in training texts."""
+def token_counts(docs: DataFrame, params: HmmParams) -> DataFrame:
+    """(h, ending, c): how often each token stands in the training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal number, size
-            h, shape, lens, ids, out = (sum((x[i] for x in held), []) if i > 2 else np.concatenate([x[i] for x in held]) for i in range(5))
-            distinct, codes = np.unique(h, return_inverse=True)
-            train = np.repeat(~np.array(out, bool), lens)
-            trained = np.bincount(codes[train], minlength=len(distinct))
-            row = (number, ids, out, lens.tolist(), codes.astype("<u4").tobytes(), shape.tobytes(), distinct.astype("<u8").tobytes(), trained.astype("<u4").tobytes())
-            held.clear()
-            number, size = number + 1, 0
-            return _batch(BLOCK, [row])
-
-        for batch, data, off in tb.slices(batches, "text", 4 << 20):
-            ids = batch.column(0).to_pylist()
-            h, shape, first = tokens(data, off)
-            held.append((h, shape, np.diff(first), ids, [is_held_out(x, params) for x in ids]))
-            size += len(h)
-            if size >= params.block_tokens:
-                yield flush()
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def merged() -> pa.RecordBatch:
+            h, e, n = (np.concatenate(x) for x in zip(*found))
+            h, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+            c = np.bincount(inverse, n, len(h)).astype(np.int64)
+            return pa.record_batch([pa.array(h.view(np.int64)), pa.array(e[at]), pa.array(c)], names=["h", "ending", "c"])
+
+        for batch, data, off in tb.slices(batches, "text"):
+            train = np.array([not is_held_out(x, params) for x in batch.column(0).to_pylist()])
+            t = tokens(data, off, params)
+            mine = np.repeat(train, np.diff(t.first))
+            u, at, n = np.unique(t.hashes[mine], return_index=True, return_counts=True)
+            found.append((u, t.endings[mine][at], n))
+            held += len(u)
+            if held > 2_000_000:
+                yield merged()
+                found, held = [], 0
         if held:
-            yield flush()
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCK)
-
+            yield merged()
 
-def share_bounds(hashes: np.ndarray, shares: int) -> list[tuple[int, int, int]]:
-    """(share, start, end) of the stretches of sorted hashes that belong to the same share."""
-    share = ((hashes >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
-    cuts = np.flatnonzero(np.append(True, share[1:] != share[:-1])).tolist() if len(share) else []
-    return [(int(share[a]), a, b) for a, b in zip(cuts, [*cuts[1:], len(share)])]
+    counted = docs.select("doc_id", "text").mapInArrow(run, "h long, ending long, c long")
+    return counted.groupBy("h").agg(F.min("ending").alias("ending"), F.sum("c").alias("c"))
 
 
-def by_share(rows: DataFrame, parts: int) -> DataFrame:
-    return rows.repartition(parts, "share").sortWithinPartitions("share", "block")
+@dataclass
+class Vocabulary:
+    hashes: np.ndarray  # sorted; the most frequent tokens
+    counts: np.ndarray
+    symbols: np.ndarray  # by frequency; -1 for those that have their ending's
+    own: np.ndarray  # counts of the tokens that have a symbol, by symbol
+    units: np.ndarray  # of each ending: tokens and types that have its symbol, and one for the unseen
+    n: int
+    v: int
 
+    @property
+    def size(self) -> int:
+        return len(self.own) + len(self.units)
 
-def in_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
-    """Rows of each key, from batches ordered by it."""
-    held: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and row[key] != held[0][key]:
-                yield held
-                held = []
-            held.append(row)
-    if held:
-        yield held
+    @property
+    def mass(self) -> float:
+        """What the unigram weights, a token's count and one, add up to."""
+        return float((self.own + 1).sum() + self.units.sum())
 
+    @property
+    def weights(self) -> np.ndarray:
+        return np.append(self.own + 1.0, self.units) / self.mass
 
-def bin_of(counts: np.ndarray) -> np.ndarray:
-    """Bins of counts by size, sixteen to a doubling."""
-    return (np.log2(np.maximum(counts, 1)) * 16).astype(np.int64)
 
+def size_bin() -> Column:
+    """Bins of counts, sixteen to a doubling."""
+    return F.floor(F.log2("c") * 16)
 
-BINS = 64 * 16
-COUNTED = "kind int, share int, block long, a binary, b binary, n long, v long, once long"
 
+def vocabulary(counts: DataFrame, params: HmmParams) -> Vocabulary:
+    """The most frequent tokens are those above a count that a histogram of counts tells, so no task sorts the others."""
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    bins = {r["bin"]: r["n"] for r in counts.groupBy(size_bin().alias("bin")).agg(F.count("*").alias("n")).collect()}  # a thousand at most
 
-def counted(stored: DataFrame, params: HmmParams, shares: int, parts: int) -> DataFrame:
-    """Rows by kind: 0 the training counts of a block's tokens in a share, 1 a share's totals and counts by bin, 2 its tokens of ``min_count``."""
+    def least(most: int) -> int:
+        """The lowest bin such that it and all above hold at most so many tokens."""
+        held, out = 0, 1 << 20
+        for b in sorted(bins, reverse=True):
+            held += bins[b]
+            if held > most:
+                break
+            out = b
+        return out
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                h = np.frombuffer(row["hashes"], "<u8")
-                yield _batch("share int, block long, hashes binary, n binary", [(s, row["block"], row["hashes"][8 * a : 8 * b], row["trained"][4 * a : 4 * b]) for s, a, b in share_bounds(h, shares)])
+    named = (size_bin() >= least(params.vocabulary)) & (F.col("c") >= params.min_count)
+    top = counts.where((size_bin() >= least(params.lookup)) | named).select("h", "c", named.alias("own")).toArrow()
+    units = np.ones(params.endings)
+    for r in counts.where(~named).groupBy("ending").agg(F.sum(F.col("c") + 1).alias("n")).collect():  # a row an ending
+        units[r["ending"]] += r["n"]
+    h, c, own = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy(), top.column("own").to_numpy().astype(bool)
+    order = np.lexsort((h, -c, ~own))
+    h, c, m = h[order], c[order], int(own.sum())
+    symbols = np.where(np.arange(len(h)) < m, np.arange(len(h)), -1)
+    by_hash = np.argsort(h)
+    return Vocabulary(h[by_hash], c[by_hash], symbols[by_hash], c[:m], units, total["n"], total["v"])
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in in_groups(batches, "share"):
-            share = rows[0]["share"]
-            parts_ = [np.frombuffer(r["hashes"], "<u8") for r in rows]
-            h, inverse = np.unique(np.concatenate(parts_), return_inverse=True)
-            c = np.bincount(inverse, np.concatenate([np.frombuffer(r["n"], "<u4") for r in rows]), len(h)).astype("<i8")
-            at = np.cumsum([0, *map(len, parts_)])
-            answers = [(0, share, r["block"], c[inverse[a:b]].tobytes(), None, 0, 0, 0) for r, a, b in zip(rows, at, at[1:])]
-            own = c >= params.min_count
-            bins = np.bincount(bin_of(c[own]), minlength=BINS)
-            yield _batch(COUNTED, [*answers, (1, share, -1, bins.astype("<i8").tobytes(), None, int(c.sum()), int((c > 0).sum()), int((c[~own]).sum() + ((c > 0) & ~own).sum())), (2, share, -1, h[own].tobytes(), c[own].tobytes(), 0, 0, 0)])
 
-    dealt = stored.select("block", "hashes", "trained").mapInArrow(deal, "share int, block long, hashes binary, n binary")
-    return by_share(dealt, parts).mapInArrow(total, COUNTED)
+ENCODED = "row_id long, doc_id long, held_out boolean, n_tokens long, known long, logs double, rare_logs double, ids binary, shapes binary, unknown array<bigint>"
+ENCODED_NAMES = [x.split()[0] for x in ENCODED.split(", ")]
 
 
-@dataclass
-class Vocabulary:
-    hashes: np.ndarray  # sorted; the head
-    counts: np.ndarray
-    n: int
-    v: int
-    rare_units: int  # tokens and types under min_count, and one for the unseen
+def encode(docs: DataFrame, vocab, params: HmmParams) -> DataFrame:
+    """Symbols of each text, the sums over words that are looked up, and the hashes of all others."""
 
-    @property
-    def mass(self) -> float:
-        """What the unigram weights, a token's count and one, add up to."""
-        return float(self.n + self.v + 1)
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Numbers of the head's tokens; -1 for all others."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-
-def vocabulary(found: DataFrame, params: HmmParams) -> Vocabulary:
-    totals = found.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("once"), F.lit(0))).first()
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = np.zeros(BINS, np.int64)
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                bins += np.frombuffer(x, "<i8")
-        used = np.flatnonzero(bins)
-        yield pa.record_batch([pa.array(used), pa.array(bins[used])], names=["bin", "n"])
-
-    bins = np.zeros(BINS, np.int64)
-    for r in found.where("kind = 1").select("a").mapInArrow(spread, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
-        bins[r["bin"]] = r["n"]
-    above = np.cumsum(bins[::-1])[::-1]  # tokens in a bin or a higher one
-    least = int(np.flatnonzero(above <= params.head)[0]) if (above <= params.head).any() else BINS
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h, c = np.frombuffer(a, "<u8"), np.frombuffer(b, "<i8")
-                own = bin_of(c) >= least
-                yield pa.record_batch([pa.array(h[own].view(np.int64)), pa.array(c[own])], names=["h", "c"])
-
-    top = found.where("kind = 2").select("a", "b").mapInArrow(pick, "h long, c long").toArrow()
-    h, c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
-    order = np.argsort(h)
-    return Vocabulary(h[order], c[order], totals[0], totals[1], totals[2] + 1)
-
-
-def text_groups(stored: DataFrame, vocab: Vocabulary, params: HmmParams) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, weights): the anchors, sorted, and how much one occurrence of each speaks for each group."""
-    top = np.argsort(-vocab.counts, kind="stable")
-    top = np.sort(top[vocab.hashes[top] != END][: params.anchors])
-    hashes = vocab.hashes[top]
-    n = len(hashes)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v: Vocabulary = vocab.value
+        row_id = TaskContext.get().partitionId() << 36
+        log_count, log_units = np.log10(v.counts + 1.0), np.log10(v.units)
+        for batch, data, off in tb.slices(batches, "text"):
+            ids = batch.column(0).to_pylist()
+            t = tokens(data, off, params)
+            h, first = t.hashes, t.first
+            at = np.minimum(np.searchsorted(v.hashes, h), max(len(v.hashes) - 1, 0))
+            hit = v.hashes[at] == h if len(v.hashes) else np.zeros(len(h), bool)
+            symbol = np.where(hit, v.symbols[at] if len(v.symbols) else 0, -1)
+            rare = symbol < 0
+            logs = np.where(hit, log_count[at] if len(log_count) else 0.0, 0.0)
+            n = np.diff(first)
+            total = np.concatenate([[0.0], np.cumsum(logs)])
+            rare_total = np.concatenate([[0.0], np.cumsum(np.where(rare, logs - log_units[t.endings], 0.0))])
+            symbols = np.where(rare, len(v.own) + t.endings, symbol).astype("<u2").tobytes()
+            shapes = t.shapes.tobytes()
+            cut = first.tolist()
+            unknown = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(tb.per_row(~hit, first))), pa.int32()), pa.array(h[~hit].view(np.int64)))
+            held = [is_held_out(x, params) for x in ids]
+            columns = [
+                pa.array(np.arange(row_id, row_id + len(ids))),
+                pa.array(ids, pa.int64()),
+                pa.array(held),
+                pa.array(n),
+                pa.array(tb.per_row(hit, first)),
+                pa.array(total[first[1:]] - total[first[:-1]]),
+                pa.array(rare_total[first[1:]] - rare_total[first[:-1]]),
+                pa.array([symbols[2 * a : 2 * b] for a, b in zip(cut, cut[1:])], pa.large_binary()),
+                pa.array([None if x else shapes[a:b] for x, a, b in zip(held, cut, cut[1:])], pa.large_binary()),
+                unknown,
+            ]
+            row_id += len(ids)
+            yield pa.RecordBatch.from_arrays(columns, names=ENCODED_NAMES)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ENCODED)
+
+
+def text_groups(training: DataFrame, vocab: Vocabulary, params: HmmParams) -> np.ndarray:
+    """How much one occurrence of each of the most frequent words (the anchors; symbols but the end) speaks for each group."""
+    end = int(np.searchsorted(vocab.hashes, END))
+    ends = int(vocab.symbols[end]) if end < len(vocab.hashes) and vocab.hashes[end] == END else -1
+    n = min(params.anchors, len(vocab.own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         together = np.zeros((n, n), np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                seen = anchor_counts(row, hashes)[~np.array(row["held"], bool)] > 0
-                together += (seen.T.astype(np.float32) @ seen.astype(np.float32)).astype(np.int64)
+        for (ids,) in _batched(batches, params.batch_tokens, "ids"):
+            seen = (anchor_counts(ids, n) > 0).astype(np.float32)
+            together += (seen.T @ seen).astype(np.int64)
         i, j = np.nonzero(together)
         yield pa.record_batch([pa.array(i), pa.array(j), pa.array(together[i, j])], names=["i", "j", "n"])
 
     together = np.zeros((n, n))
-    for r in stored.select("held", "lens", "codes", "hashes").mapInArrow(run, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():
+    for r in training.select("ids").mapInArrow(run, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():  # anchors squared
         together[r["i"], r["j"]] = r["n"]
-    return hashes, group_weights(together, params.groups)
+    keep = np.arange(n) != ends
+    out = np.zeros((n, params.groups))
+    out[keep] = group_weights(together[np.ix_(keep, keep)], params.groups)
+    return out
 
 
 def group_weights(together: np.ndarray, groups: int) -> np.ndarray:
@@ -295,26 +285,18 @@ def group_weights(together: np.ndarray, groups: int) -> np.ndarray:
     return out / np.sqrt(np.maximum(share, 1.0))
 
 
-def anchor_counts(row: dict, anchors: np.ndarray) -> np.ndarray:
-    """Texts of a block by anchors."""
-    lens = np.array(row["lens"], np.int64)
-    h = np.frombuffer(row["hashes"], "<u8")
-    column = np.full(len(h), -1)
-    if len(anchors):
-        at = np.minimum(np.searchsorted(anchors, h), len(anchors) - 1)
-        column = np.where(anchors[at] == h, at, -1)
-    mine = column[np.frombuffer(row["codes"], "<u4")]
-    hit = mine >= 0
-    text = np.repeat(np.arange(len(lens)), lens)[hit]
-    return np.bincount(text * len(anchors) + mine[hit], minlength=len(lens) * len(anchors)).reshape(len(lens), len(anchors))
+def anchor_counts(ids: list[bytes], n: int) -> np.ndarray:
+    """Texts by anchors."""
+    x = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+    text = np.repeat(np.arange(len(ids)), [len(i) // 2 for i in ids])
+    return np.bincount((text * n + x)[x < n], minlength=len(ids) * n).reshape(len(ids), n)
 
 
 @dataclass
 class Model:
     start: np.ndarray  # states
     move: np.ndarray  # states by states
-    emit: np.ndarray  # symbols by states: the head, then the symbol that rare tokens share
-    total: np.ndarray | None = None  # expected tokens of each state
+    emit: np.ndarray  # symbols by states
 
     @property
     def usual(self) -> np.ndarray:
@@ -325,16 +307,13 @@ class Model:
         return p / p.sum()
 
     @staticmethod
-    def estimate(start: np.ndarray, move: np.ndarray, emit: np.ndarray, total: np.ndarray, weights: np.ndarray, params: HmmParams) -> Model:
+    def estimate(start: np.ndarray, move: np.ndarray, emit: np.ndarray, weights: np.ndarray, params: HmmParams) -> Model:
         """Smoothed estimates from expected counts; ``weights`` are the symbols' unigram shares."""
         k = params.states
         m = (move + params.transition_prior) / (move.sum(axis=1, keepdims=True) + params.transition_prior * k)
         s = (start + params.transition_prior) / (start.sum() + params.transition_prior * k)
-        return Model(s, m, emission(emit, total, weights, params), total)
-
-
-def emission(counts: np.ndarray, total: np.ndarray, weights: np.ndarray, params: HmmParams) -> np.ndarray:
-    return (counts + params.emission_prior * weights[:, None]) / (total + params.emission_prior)
+        e = (emit + params.emission_prior * weights[:, None]) / (emit.sum(axis=0) + params.emission_prior)
+        return Model(s, m, e)
 
 
 def time_major(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -424,207 +403,125 @@ def expected_counts(ids: np.ndarray, lens: np.ndarray, model: Model, params: Hmm
     return emit, move, start, gain
 
 
-def learned_schema(k: int) -> str:
-    return ", ".join(["kind int, symbol int, share int, block long, at binary, weight binary, counts binary", *(f"k{i} long" for i in range(k))])
-
-
-class Learned:
-    """What a task has gathered: sums of the head, moves, starts, totals and log-likelihood, and rows for the shares."""
-
-    def __init__(self, vocab: Vocabulary, params: HmmParams, shares: int) -> None:
-        self.k, self.size, self.shares, self.schema = params.states, len(vocab.hashes), shares, learned_schema(params.states)
-        self.sums = np.zeros((self.size + 1 + self.k + 3, self.k))
-
-    def add(self, row: dict, emit: np.ndarray, move: np.ndarray, start: np.ndarray, gain: float, n: int, head: np.ndarray, tail: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
-        """Takes a block's counts by its distinct tokens; gives the rows for those in the tail (numbers of distinct tokens)."""
-        of = np.where(head >= 0, head, self.size)
-        rare = np.ones(len(of), bool)
-        rare[tail] = False
-        np.add.at(self.sums, of[rare], emit[rare])
-        k, s = self.k, self.size + 1
-        self.sums[s : s + k] += move
-        self.sums[s + k] += start
-        self.sums[s + k + 1] += emit.sum(axis=0)
-        self.sums[s + k + 2, :2] += gain, n
-        h = np.frombuffer(row["hashes"], "<u8")[tail]
-        rows = []
-        for share, a, b in share_bounds(h, self.shares):
-            # each share gets the hashes along with the counts, and the unigram weights that it needs to answer
-            counts = emit[tail[a:b]].astype("<f4").tobytes()
-            rows.append((1, -1, share, row["block"], tail[a:b].astype("<u4").tobytes() + h[a:b].tobytes(), weight[tail[a:b]].astype("<f4").tobytes(), counts, *[0] * k))
-        return _batch(self.schema, rows)
-
-    def rest(self) -> pa.RecordBatch:
-        units = np.rint(self.sums * UNIT).astype(np.int64)
-        used = np.flatnonzero(units.any(axis=1))
-        empty = pa.nulls(len(used), pa.large_binary())
-        names = [x.split()[0] for x in self.schema.split(", ")]
-        zero = np.zeros(len(used), np.int32)
-        fixed = [pa.array(zero), pa.array(used.astype(np.int32)), pa.array(zero - 1), pa.array(zero.astype(np.int64) - 1), empty, empty, empty]
-        return pa.RecordBatch.from_arrays([*fixed, *(pa.array(units[used, i]) for i in range(self.k))], names=names)
-
-
-INPUT = ["block", "role", "share", "doc_ids", "held", "lens", "codes", "shapes", "hashes", "a", "b", "c"]
-
-
-def with_answers(stored: DataFrame, answers: list[DataFrame], parts: int) -> DataFrame:
-    """Blocks, each followed by the rows (block, role, share, a, b, c) that answer it."""
-    own = stored.select("block", F.lit(TOKENS).alias("role"), F.lit(-1).alias("share"), "doc_ids", "held", "lens", "codes", "shapes", "hashes", *(F.lit(None).cast("binary").alias(c) for c in "abc"))
-    kinds = {f.name: f.dataType for f in own.schema}
-    for x in answers:
-        own = own.unionByName(x.select(*(F.col(c) if c in x.columns else F.lit(None).cast(kinds[c]).alias(c) for c in INPUT)))
-    return own.repartition(parts, "block").sortWithinPartitions("block", "role", "share")
-
-
-def gathered(rows: DataFrame, size: int, params: HmmParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float, float]:
-    """Sums over all tasks: head and rare symbol, moves, starts, totals, log-likelihood and tokens."""
-    k = params.states
-    sums = rows.where("kind = 0").groupBy("symbol").agg(*(F.sum(f"k{i}").alias(f"k{i}") for i in range(k))).toArrow()
-    full = np.zeros((size + 1 + k + 3, k))
-    if sums.num_rows:
-        full[sums.column("symbol").to_numpy()] = np.stack([sums.column(f"k{i}").to_numpy() for i in range(k)], axis=1) / UNIT
-    s = size + 1
-    return full[:s], full[s : s + k], full[s + k], full[s + k + 1], full[s + k + 2, 0], full[s + k + 2, 1]
-
-
-def answered(rows: DataFrame, model: Model, params: HmmParams, parts: int) -> DataFrame:
-    """(block, role, share, a, b, c): for each block and share the tail's numbers, unigram weights and new probabilities."""
-    total, k = model.total, params.states
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in in_groups(batches, "share"):
-            n = [len(r["weight"]) // 4 for r in group]
-            h = np.concatenate([np.frombuffer(r["at"], "<u8", m, 4 * m) for r, m in zip(group, n)])
-            weight = np.concatenate([np.frombuffer(r["weight"], "<f4") for r in group]).astype(float)
-            counts = np.concatenate([np.frombuffer(r["counts"], "<f4").reshape(-1, k) for r in group])
-            _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            sums = np.stack([np.bincount(inverse, counts[:, i], len(first)) for i in range(k)], axis=1)
-            new = emission(sums, total, weight[first], params).astype("<f4")
-            cuts = np.cumsum([0, *n])
-            yield _batch("block long, role int, share int, a binary, b binary, c binary", [(r["block"], ANSWER, r["share"], r["at"][: 4 * m], r["weight"], new[inverse[x : x + m]].tobytes()) for r, m, x in zip(group, n, cuts)])
-
-    tail = rows.where("kind = 1").select("share", "block", "at", "weight", "counts")
-    return by_share(tail, parts).mapInArrow(run, "block long, role int, share int, a binary, b binary, c binary")
-
-
-def known_emission(rows: list[dict], vocab: Vocabulary, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For a block's distinct tokens: probabilities, numbers in the head, which are in the tail, and unigram weights."""
-    h = np.frombuffer(rows[0]["hashes"], "<u8")
-    head = vocab.find(h)
-    emit = model.emit[np.where(head >= 0, head, len(vocab.hashes))].astype(np.float32)
-    weight = np.zeros(len(h))
-    mine = [r for r in rows if r["role"] == ANSWER]
-    tail = np.concatenate([np.frombuffer(r["a"], "<u4") for r in mine]).astype(np.int64) if mine else np.zeros(0, np.int64)
-    if len(tail):
-        emit[tail] = np.concatenate([np.frombuffer(r["c"], "<f4") for r in mine]).reshape(len(tail), -1)
-        weight[tail] = np.concatenate([np.frombuffer(r["b"], "<f4") for r in mine])
-    return emit, head, tail, weight
-
-
-def labelled(inputs: DataFrame, vocab, anchors: tuple[np.ndarray, np.ndarray], params: HmmParams, shares: int) -> DataFrame:
-    """Counts of the hard labelling, and (kind 2) each text's sums over its words' counts."""
-    schema = learned_schema(params.states)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v: Vocabulary = vocab.value
-        out = Learned(v, params, shares)
-        for rows in in_groups(batches, "block"):
-            row = rows[0]
-            c = np.concatenate([np.frombuffer(r["a"], "<i8") for r in rows[1:]])
-            h, codes, lens = np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["codes"], "<u4").astype(np.int64), np.array(row["lens"], np.int64)
-            head = v.find(h)
-            tail = np.flatnonzero((head < 0) & (c >= params.min_count))
-            logs, rare = np.log10(c + 1.0), c < params.min_count
-            edge = np.cumsum(lens) - lens
-            known = np.add.reduceat((c > 0)[codes].astype(np.int64), edge)
-            base = np.add.reduceat(logs[codes], edge)
-            more = np.add.reduceat(np.where(rare, logs - np.log10(float(v.rare_units)), 0.0)[codes], edge)
-            yield _batch(schema, [(2, -1, -1, row["block"], known.astype("<i8").tobytes(), base.astype("<f8").tobytes(), more.astype("<f8").tobytes(), *[0] * params.states)])
-            group = np.argmax(anchor_counts(row, anchors[0]) @ anchors[1], axis=1) if len(anchors[0]) else np.zeros(len(lens), np.int64)
-            state = np.repeat(group, lens) * params.shapes + np.frombuffer(row["shapes"], np.uint8) % params.shapes
-            train = np.repeat(~np.array(row["held"], bool), lens)
-            starts = np.zeros(len(codes), bool)
-            starts[edge] = True
-            k = params.states
-            joined = np.flatnonzero(train & ~starts)
-            emit = np.bincount(codes[train] * k + state[train], minlength=len(h) * k).reshape(len(h), k).astype(float)
-            move = np.bincount(state[joined - 1] * k + state[joined], minlength=k * k).reshape(k, k)
-            start = np.bincount(state[train & starts], minlength=k)
-            yield out.add(row, emit, move, start, 0.0, int(train.sum()), head, tail, (c + 1.0) / v.mass)
-        yield out.rest()
-
-    return inputs.mapInArrow(run, schema)
-
-
-def improved(inputs: DataFrame, vocab, model, params: HmmParams, shares: int) -> DataFrame:
-    """One round's expected counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v: Vocabulary = vocab.value
-        m: Model = model.value
-        out = Learned(v, params, shares)
-        for rows in in_groups(batches, "block"):
-            emit, head, tail, weight = known_emission(rows, v, m)
-            lens = np.array(rows[0]["lens"], np.int64)
-            train = ~np.array(rows[0]["held"], bool)
-            ids = np.frombuffer(rows[0]["codes"], "<u4").astype(np.int64)[np.repeat(train, lens)]
-            if len(ids):
-                counts, move, start, gain = expected_counts(ids, lens[train], Model(m.start, m.move, emit), params)
-                yield out.add(rows[0], counts, move, start, gain, len(ids), head, tail, weight)
-        yield out.rest()
-
-    return inputs.mapInArrow(run, learned_schema(params.states))
-
+def _batched(batches: Iterator[pa.RecordBatch], limit: int, *names: str) -> Iterator[list[list]]:
+    """Columns of rows until ``limit`` tokens are in hand; the last column named holds them as binary."""
+    held: list[list] = [[] for _ in names]
+    size = 0
+    for batch in batches:
+        columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+        for row in zip(*columns, strict=True):
+            for h, x in zip(held, row, strict=True):
+                h.append(x)
+            size += len(row[-1]) // 2
+            if size >= limit:
+                yield held
+                held, size = [[] for _ in names], 0
+    if held[0]:
+        yield held
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
+def _count_schema(k: int) -> str:
+    return ", ".join(["symbol int", *(f"k{i} long" for i in range(k))])
 
-def scored(inputs: DataFrame, vocab, model) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v: Vocabulary = vocab.value
-        m: Model = model.value
-        for rows in in_groups(batches, "block"):
-            row, sums = rows[0], next(r for r in rows if r["role"] == SUMS)
-            emit = known_emission(rows, v, m)[0].astype(float)
-            lens = np.array(row["lens"], np.int64)
-            known, base, more = (np.frombuffer(sums[c], t) for c, t in (("a", "<i8"), ("b", "<f8"), ("c", "<f8")))
-            logs = forward(np.frombuffer(row["codes"], "<u4").astype(np.int64), lens, Model(m.start, m.move, emit)) / np.log(10)
-            columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(lens), pa.array(known), pa.array(np.full(len(lens), v.n)), pa.array(base - lens * np.log10(v.mass)), pa.array(logs + more)]
-            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORED.split(", ")])
 
-    return inputs.mapInArrow(run, SCORED)
+def gather(rows: DataFrame, size: int, params: HmmParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Sums over all tasks: starts, moves, emissions (symbols by states), and the log-likelihood a token."""
+    k = params.states
+    summed = rows.groupBy("symbol").agg(*(F.sum(f"k{i}").alias(f"k{i}") for i in range(k))).toArrow()
+    full = np.zeros((size + k + 2, k))
+    if summed.num_rows:
+        full[summed.column("symbol").to_numpy()] = np.stack([summed.column(f"k{i}").to_numpy() for i in range(k)], axis=1) / UNIT
+    return full[size + k], full[size : size + k], full[:size], full[-1, 0] / max(full[-1, 1], 1.0)
+
+
+def _count_batch(emit: np.ndarray, move: np.ndarray, start: np.ndarray, gain: float, n: int) -> pa.RecordBatch:
+    last = np.zeros((1, len(start)))
+    last[0, :2] = gain, n
+    # whole units: sums don't depend on the order of tasks
+    units = np.rint(np.concatenate([emit, move, start[None], last]) * UNIT).astype(np.int64)
+    used = np.flatnonzero(units.any(axis=1))
+    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(units[used, i]) for i in range(units.shape[1]))], names=["symbol", *(f"k{i}" for i in range(units.shape[1]))])
+
+
+def hard_labels(ids: list[bytes], shapes: list[bytes], votes: np.ndarray, params: HmmParams) -> np.ndarray:
+    """The state that each token of the texts starts in: its text's group and its own shape."""
+    group = np.argmax(anchor_counts(ids, len(votes)) @ votes, axis=1) if len(votes) else np.zeros(len(ids), np.int64)
+    return np.repeat(group, list(map(len, shapes))) * params.shapes + np.frombuffer(b"".join(shapes), np.uint8) % params.shapes
+
+
+def train(encoded: DataFrame, vocab: Vocabulary, params: HmmParams) -> Model:
+    spark: SparkSession = encoded.sparkSession
+    k, size = params.states, vocab.size
+    training = encoded.where("not held_out")
+    votes = text_groups(training, vocab, params)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emit, move, start, n = np.zeros(size * k), np.zeros(k * k), np.zeros(k), 0
+        for shapes, ids in _batched(batches, params.batch_tokens, "shapes", "ids"):
+            s = hard_labels(ids, shapes, votes, params)
+            x = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+            first = np.cumsum([0, *map(len, shapes)])[:-1]
+            emit += np.bincount(x * k + s, minlength=size * k)
+            joined = np.ones(len(s), bool)
+            joined[first] = False
+            move += np.bincount((s[:-1] * k + s[1:])[joined[1:]], minlength=k * k)
+            start += np.bincount(s[first], minlength=k)
+            n += len(s)
+        yield _count_batch(emit.reshape(size, k), move.reshape(k, k), start, 0.0, n)
+
+    start, move, emit, _ = gather(training.select("shapes", "ids").mapInArrow(label, _count_schema(k)), size, params)
+    model, likely = Model.estimate(start, move, emit, vocab.weights, params), -np.inf
+    for _ in range(params.rounds):
+        shared = spark.sparkContext.broadcast(model)
+
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            sums, gain, n = [np.zeros((size, k)), np.zeros((k, k)), np.zeros(k)], 0.0, 0
+            for (ids,) in _batched(batches, params.batch_tokens, "ids"):
+                x = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+                *counts, more = expected_counts(x, np.array([len(i) // 2 for i in ids]), shared.value, params)
+                for total, c in zip(sums, counts):
+                    total += c
+                gain, n = gain + more, n + len(x)
+            yield _count_batch(*sums, gain, n)
+
+        start, move, emit, now = gather(training.select("ids").mapInArrow(learn, _count_schema(k)), size, params)
+        shared.unpersist()
+        model = Model.estimate(start, move, emit, vocab.weights, params)
+        if now - likely < params.tolerance:
+            break
+        likely = now
+    return model
 
 
 def score(docs: DataFrame, params: HmmParams = HmmParams()) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text)."""
+    if params.vocabulary + params.endings > 1 << 16:
+        raise ValueError("symbols are numbered in 16 bits")
     spark = docs.sparkSession
     prepare(spark)
-    parts = shuffle_partitions(spark)
-    stored = materialise(blocks(docs, params), "hmm-blocks")
-    entries = stored.agg(F.coalesce(F.sum(F.octet_length("hashes")), F.lit(0))).first()[0] // 8
-    shares = max(parts, -(-entries // params.share_entries))
-    found = materialise(counted(stored, params, shares, parts), "hmm-counts", "kind")
-    vocab = vocabulary(found, params)
-    shared = spark.sparkContext.broadcast(vocab)
-    anchors = text_groups(stored, vocab, params)
-    counts = found.where("kind = 0").select("block", F.lit(ANSWER).alias("role"), "share", "a")
-    learned = materialise(labelled(with_answers(stored, [counts], parts), shared, anchors, params, shares), "hmm-learned", "kind")
-    release(found)
-    sums = learned.where("kind = 2").select("block", F.lit(SUMS).alias("role"), F.lit(-1).alias("share"), F.col("at").alias("a"), F.col("weight").alias("b"), F.col("counts").alias("c"))
-    weights = np.append(vocab.counts + 1.0, float(vocab.rare_units)) / vocab.mass
-    likely, kept = 0.0, None
-    for number in range(params.rounds + 1):
-        emit, move, start, total, gain, n = gathered(learned, len(vocab.hashes), params)
-        model = spark.sparkContext.broadcast(Model.estimate(start, move, emit, total, weights, params))
-        answers = answered(learned, model.value, params, parts)
-        inputs = with_answers(stored, [answers], parts)
-        now = gain / max(n, 1)
-        done = number == params.rounds or number > 1 and now - likely < params.tolerance
-        likely = now
-        if done:
-            break
-        learned = materialise(improved(inputs, shared, model, params, shares), "hmm-learned", "kind")
-        if kept is not None:  # the first table stays, as its sums of texts are read below
-            release(kept)
-        kept = learned
-    return scored(with_answers(stored, [answers, sums], parts), shared, model)
+    counts = materialise(token_counts(docs, params), "token-counts")
+    vocab = vocabulary(counts, params)
+    n, v = vocab.n, vocab.v
+    encoded = materialise(encode(docs, spark.sparkContext.broadcast(vocab), params), "encoded")
+    model = spark.sparkContext.broadcast(train(encoded, vocab, params))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, ids in _batched(batches, 4 * params.batch_tokens, "row_id", "ids"):
+            x = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+            lens = np.array([len(i) // 2 for i in ids])
+            yield pa.record_batch([pa.array(row, pa.int64()), pa.array(forward(x, lens, model.value) / np.log(10))], names=["row_id", "model_log"])
+
+    unknown = encoded.select("row_id", F.explode("unknown").alias("h")).join(counts, "h")
+    unknown = unknown.groupBy("row_id").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("more_logs"))
+    scored = encoded.select("row_id", "ids").mapInArrow(run, "row_id long, model_log double")
+    rows = encoded.drop("ids", "shapes", "unknown").join(scored, "row_id").join(unknown, "row_id", "left")
+    more = F.coalesce("more_logs", F.lit(0.0))
+    return rows.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("logs") + more - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"),
+        (F.col("model_log") + F.col("rare_logs") + more).alias("score"),
+    )

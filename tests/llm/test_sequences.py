@@ -210,52 +210,56 @@ def brute_base(rows):
     return out
 
 
-def brute_scores(rows, params, anchors):
-    """The model's score of every text: the same training in plain arrays over the whole vocabulary."""
-    texts = [[*(w.decode() for w in (r.text or "").encode().lower().split()), None] for r in rows]
+def brute_scores(rows, params, votes):
+    """The model's score of every text: the same training in one piece, over plain dictionaries of words."""
+    view = lambda r: hmm.tokens(*hmm.tb.utf8(hmm.pa.array([r.text or ""], hmm.pa.large_string())), params)
+    texts = [[*(w for w in (r.text or "").encode().lower().split()), b""] for r in rows]
+    seen = [view(r) for r in rows]
     held = [hmm.is_held_out(r.doc_id, params) for r in rows]
     counts = Counter(w for t, out in zip(texts, held) if not out for w in t)
-    own = sorted((w for w, c in counts.items() if c >= params.min_count), key=str)
+    hash_of = {w: int(h) for t, x in zip(texts, seen) for w, h in zip(t, x.hashes)}
+    ending = {w: int(e) for t, x in zip(texts, seen) for w, e in zip(t, x.endings)}
+    bins = Counter(int(math.log2(c) * 16) for c in counts.values())
+    least = min((b for b in bins if sum(n for x, n in bins.items() if x >= b) <= params.vocabulary), default=10**6)
+    own = sorted((w for w, c in counts.items() if c >= params.min_count and int(math.log2(c) * 16) >= least), key=lambda w: (-counts[w], hash_of[w]))
     at = {w: i for i, w in enumerate(own)}
-    n, v = sum(counts.values()), len(counts)
-    rare = sum(c + 1 for c in counts.values() if c < params.min_count) + 1
-    weights = np.array([counts[w] + 1 for w in own] + [rare]) / (n + v + 1)
-    ids = [np.array([at.get(w, len(own)) for w in t]) for t in texts]
+    units = np.ones(params.endings)
+    for w, c in counts.items():
+        if w not in at:
+            units[ending[w]] += c + 1
+    weights = np.array([counts[w] + 1 for w in own] + units.tolist())
+    ids = [np.array([at.get(w, len(own) + ending[w]) for w in t]) for t in texts]
+    train = [i for i, out in enumerate(held) if not out]
     k = params.states
-    hashes, votes = anchors
-    word_of = {}
-    for r in rows:
-        h, shape, first = hmm.tokens(*hmm.tb.utf8(hmm.pa.array([r.text or ""], hmm.pa.large_string())))
-        word_of[id(r)] = (h, shape)
-    emit, move, start = np.zeros((len(own) + 1, k)), np.zeros((k, k)), np.zeros(k)
-    for r, x, out in zip(rows, ids, held):
-        if out:
-            continue
-        h, shape = word_of[id(r)]
-        seen = np.array([(h == a).sum() for a in hashes])
-        group = int(np.argmax(seen @ votes)) if len(hashes) else 0
-        state = group * params.shapes + shape % params.shapes
-        np.add.at(emit, (x, state), 1)
+    emit, move, start = np.zeros((len(weights), k)), np.zeros((k, k)), np.zeros(k)
+    for i in train:
+        state = hmm.hard_labels([ids[i].astype("<u2").tobytes()], [seen[i].shapes.tobytes()], votes, params)
+        np.add.at(emit, (ids[i], state), 1)
         np.add.at(move, (state[:-1], state[1:]), 1)
         start[state[0]] += 1
-    model = hmm.Model.estimate(start, move, emit, emit.sum(axis=0), weights, params)
+    estimate = lambda s, m, e: hmm.Model.estimate(s, m, e, weights / weights.sum(), params)
+    model = estimate(start, move, emit)
     for _ in range(params.rounds):
-        train = [x for x, out in zip(ids, held) if not out]
-        emit, move, start, _ = hmm.expected_counts(np.concatenate(train), np.array(list(map(len, train))), model, params)
-        model = hmm.Model.estimate(start, move, emit, emit.sum(axis=0), weights, params)
-    out = []
-    for x, t in zip(ids, texts):
-        more = sum(math.log10((counts[w] + 1) / rare) for w in t if counts[w] < params.min_count)
-        out.append(hmm.forward(x, np.array([len(x)]), model)[0] / math.log(10) + more)
-    return out
+        emit, move, start, _ = hmm.expected_counts(np.concatenate([ids[i] for i in train]), np.array([len(ids[i]) for i in train]), model, params)
+        model = estimate(start, move, emit)
+    more = [sum(math.log10((counts[w] + 1) / units[ending[w]]) for w in t if w not in at) for t in texts]
+    return [naive_log_likelihood_scaled(x, model) / math.log(10) + m for x, m in zip(ids, more)]
+
+
+def naive_log_likelihood_scaled(ids, model):
+    a, out = model.start * model.emit[ids[0]], 0.0
+    for x in ids[1:]:
+        out += math.log(a.sum())
+        a = (a / a.sum() @ model.move) * model.emit[x]
+    return out + math.log(a.sum())
 
 
 def test_hmm_scores(documents, odd, none, monkeypatch):
-    """Base and model scores against plain code, with most of the vocabulary outside the head and texts in many blocks."""
+    """Base and model scores against plain code, with most of the vocabulary outside the symbols and the lookup."""
     seen = []
     original = hmm.text_groups
     monkeypatch.setattr(hmm, "text_groups", lambda *a: seen.append(original(*a)) or seen[-1])
-    small = hmm.HmmParams(head=200, block_tokens=3000, rounds=2, tolerance=-math.inf)
+    small = hmm.HmmParams(vocabulary=200, endings=300, lookup=900, rounds=2, tolerance=-math.inf)
     for df in (documents.orderBy("doc_id").limit(120), odd):
         df = df.repartition(3, "doc_id")
         rows = df.collect()
