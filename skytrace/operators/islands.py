@@ -10,6 +10,7 @@ from skytrace.config import Trajectory
 from skytrace.functions.geodesy import haversine_m
 from skytrace.functions.numeric import round_even
 from skytrace.operators.quality import KEY, ORDINAL, by_time
+from skytrace.plans.boundary import boundary
 from skytrace.schemas import SEGMENT_COLUMNS
 
 
@@ -59,14 +60,15 @@ def segments(rows: DataFrame, p: Trajectory, dates: tuple[str, ...] = (), ordina
 
     Ids follow date, aircraft and start time.  An id is the sum of three counts
     of kept islands: on dates before, of aircraft before on that date, and
-    before on the aircraft's day; no task sees more than a date's aircraft.
+    before on the aircraft's day; no task sees more than a date's aircraft.  Kept
+    rows are written once, as both the counts and the rows read them.
     """
     kept = with_durations(with_cuts(rows, p, ordinal)).where(F.col("duration_s") >= p.min_duration_s)
-    w = by_time(ordinal=ordinal)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    starts = F.coalesce(F.lag("island").over(w) != F.col("island"), F.lit(True))
-    kept = kept.withColumn("starts_", starts.cast("long")).withColumn("local_", F.sum("starts_").over(running) - 1)
-    aircraft = kept.groupBy(*KEY).agg(F.sum("starts_").alias("n_"))
+    # the island is the order that the durations left behind, so this needs no other sort
+    local = F.dense_rank().over(Window.partitionBy(*KEY).orderBy("island")) - 1
+    names = [c for c in SEGMENT_COLUMNS if c != "segment_id"]
+    kept = boundary(kept.withColumn("local_", local.cast("long")).select(*names, ordinal, "local_"))
+    aircraft = kept.groupBy(*KEY).agg((F.max("local_") + 1).alias("n_"))
     inside = Window.partitionBy("date").orderBy("icao24").rowsBetween(Window.unboundedPreceding, -1)
     aircraft = aircraft.withColumn("before_", F.coalesce(F.sum("n_").over(inside), F.lit(0)))
     by_date = aircraft.groupBy("date").agg(F.sum("n_").alias("n_"))

@@ -53,7 +53,8 @@ def with_enu(rows: DataFrame, key: list[str] = SEGMENT_KEY, ordinal: str = ORDIN
     for c in ENU_COLUMNS:
         missing = missing | F.col(c).isNull() | F.isnan(c)
     moved = moved.withColumns({"n_": n, "missing_": F.bool_or(missing).over(whole), "at_": F.row_number().over(w)})
-    off = F.max(F.when(F.col("at_") == 1, F.greatest(*(F.abs(F.col(c)) for c in ("E_m", "N_m", "U_m"))))).over(whole)
+    # an origin that isn't a number is no error of the origin but of the output
+    off = F.max(F.when(F.col("at_") == 1, F.greatest(*(F.abs(nan_to_null(F.col(c))) for c in ("E_m", "N_m", "U_m"))))).over(whole)
     moved = moved.withColumn("off_", off)
     reason = (
         F.when(F.col("n_") < 3, F.format_string("too_few_points (%d)", "n_"))

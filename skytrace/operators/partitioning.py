@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skytrace.config import Split
 from skytrace.functions.numeric import round_even
-from skytrace.operators.numbering import rank_by_digest
+from skytrace.operators.numbering import rank_by_digest, running_offset
+from skytrace.operators.quantiles import percentiles
+
+METRICS = ["speed_mps", "accel_mps2"]
 
 
 def assign(rows: DataFrame, p: Split) -> DataFrame:
@@ -39,29 +43,30 @@ def route(rows: DataFrame, assignment: DataFrame) -> DataFrame:
     return rows.join(assignment, "segment_id")
 
 
-def split_statistics(routed: DataFrame, sample_every: int = 1, order: list[str] | None = None) -> DataFrame:
+def split_statistics(routed: DataFrame, sample_every: int = 1) -> DataFrame:
     """Rows, segments, shares, speeds, accelerations and durations by split.
 
     Exact by default.  ``sample_every`` takes speed and acceleration from each
-    so-manieth row of a split only, in ``order``, for comparison with runs that did.
+    so-manieth row of a split only, in the order of segment and time, for
+    comparison with runs that did.
     """
     stats = routed
     if sample_every > 1:
-        from pyspark.sql.window import Window
-
-        w = Window.partitionBy("split").orderBy(*(order or ["segment_id", "time"]))
-        stats = routed.withColumn("at_", F.row_number().over(w) - 1)
-        stats = stats.withColumns({c: F.when(F.col("at_") % sample_every == 0, F.col(c)) for c in ("speed_mps", "accel_mps2")})
-    rows = stats.groupBy("split").agg(
-        F.count("*").alias("n_rows"),
-        *(f(c).alias(f"{n}_{c}") for c in ("speed_mps", "accel_mps2") for n, f in (("mean", F.avg), ("p95", lambda x: F.percentile(x, 0.95)), ("max", F.max))),
-    )
-    durations = routed.groupBy("split", "segment_id").agg((F.max("time") - F.min("time")).alias("d"))
-    by_split = durations.groupBy("split").agg(F.count("*").alias("n_segments"), F.avg("d").alias("mean_duration_s"), F.percentile("d", 0.95).alias("p95_duration_s"))
-    both = rows.join(by_split, "split")
+        counts = routed.groupBy("split", "segment_id").agg(F.count("*").alias("n"))
+        offsets = running_offset(counts, "n", "segment_id", ["split"], "offset_").select("split", "segment_id", "offset_")
+        inside = F.row_number().over(Window.partitionBy("split", "segment_id").orderBy("time")) - 1
+        stats = routed.withColumn("at_", inside).join(offsets, ["split", "segment_id"])
+        stats = stats.withColumns({c: F.when((F.col("offset_") + F.col("at_")) % sample_every == 0, F.col(c)) for c in METRICS})
+    rows = stats.groupBy("split").agg(F.count("*").alias("n_rows"), *(f(c).alias(f"{n}_{c}") for c in METRICS for n, f in (("mean", F.avg), ("max", F.max))))
+    durations = routed.groupBy("split", "segment_id").agg((F.max("time") - F.min("time")).cast("double").alias("d"))
+    by_split = durations.groupBy("split").agg(F.count("*").alias("n_segments"), F.avg("d").alias("mean_duration_s"))
+    p95 = percentiles(stats, "split", METRICS, 0.95) | percentiles(durations, "split", ["d"], 0.95)
+    names = [*METRICS, "d"]
+    exact = routed.sparkSession.createDataFrame([(s, *(p95.get((s, c)) for c in names)) for s in sorted({s for s, _ in p95})], "split string, p95_speed_mps double, p95_accel_mps2 double, p95_duration_s double")
+    both = rows.join(by_split, "split").join(exact, "split")
     totals = both.agg(F.sum("n_rows").alias("all_rows"), F.sum("n_segments").alias("all_segments")).withColumn("one_", F.lit(1))
     both = both.withColumn("one_", F.lit(1)).join(F.broadcast(totals), "one_")  # one row
-    speeds = [round_even(F.col(f"{n}_{c}"), 4).alias(f"{n}_{c}") for c in ("speed_mps", "accel_mps2") for n in ("mean", "p95", "max")]
+    speeds = [round_even(F.col(f"{n}_{c}"), 4).alias(f"{n}_{c}") for c in METRICS for n in ("mean", "p95", "max")]
     return both.select(
         "split",
         "n_rows",

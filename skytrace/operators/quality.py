@@ -14,7 +14,7 @@ ORDINAL = "event_id"
 KEY = ["date", "icao24"]
 
 
-def by_time(*keys: str, ordinal: str = ORDINAL):
+def by_time(*keys: str | Column, ordinal: str = ORDINAL):
     return Window.partitionBy(*(keys or KEY)).orderBy("time", ordinal)
 
 
@@ -24,37 +24,55 @@ def normalise(pings: DataFrame) -> DataFrame:
     return pings.withColumns({c: nan_to_null(F.col(c)) for c in doubles})
 
 
-def is_first(*keys: str, ordinal: str = ORDINAL) -> Column:
+def unnamed_part() -> Column:
+    """Spreads rows without an aircraft by their time, as they would all be one group; 0 for all others."""
+    return F.when(F.col("icao24").isNull(), F.pmod(F.xxhash64("time"), F.lit(1024)) + 1).otherwise(0)
+
+
+def is_first(*keys: str | Column, ordinal: str = ORDINAL) -> Column:
     """Whether a row is the first of its time within the keys, in row order (missing times are alike)."""
     before = F.lag(F.struct("time")).over(by_time(*keys, ordinal=ordinal))
     return before.isNull() | ~before["time"].eqNullSafe(F.col("time"))
 
 
+def grounded() -> Column:
+    """On the ground, or not known to be off it."""
+    return F.coalesce("onground", F.lit(True))
+
+
 def with_step(pings: DataFrame, p: Trajectory, ordinal: str = ORDINAL) -> DataFrame:
     """``pings`` plus ``step``: the first filter that a row fails, or ``after_filter``.
 
     Rows without a position are dropped before duplicates are looked for, and
-    duplicates before the filters on ground and altitude.
+    duplicates before the filters on ground and altitude.  A row whose
+    ``onground`` is missing counts as on the ground, as in ``clean``.
     """
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    window = Window.partitionBy(*KEY, F.col("placed_")).orderBy("time", ordinal)
-    before = F.lag(F.struct("time")).over(window)
-    first = before.isNull() | ~before["time"].eqNullSafe(F.col("time"))
+    first = is_first(*KEY, F.col("placed_"), F.col("part_"), ordinal=ordinal)
     step = (
         F.when(~F.col("placed_"), "lat_lon")
         .when(~first, "duplicates")
-        .when(F.col("onground"), "onground")
+        .when(grounded(), "onground")
         .when(F.col("geoaltitude").isNull(), "alt_missing")
         .when(~F.col("geoaltitude").between(p.min_alt_m, p.max_alt_m), "alt_range")
         .otherwise("after_filter")
     )
-    return normalise(pings).withColumn("placed_", placed).withColumn("step", step).drop("placed_")
+    return normalise(pings).withColumns({"placed_": placed, "part_": unnamed_part()}).withColumn("step", step).drop("placed_", "part_")
+
 
+def clean(pings: DataFrame, p: Trajectory, ordinal: str = ORDINAL, null_callsign: str | None = None, identified: bool = False) -> DataFrame:
+    """Rows that pass all filters, with altitude and trimmed callsign (``null_callsign`` stands for a missing one).
 
-def clean(pings: DataFrame, p: Trajectory, ordinal: str = ORDINAL, null_callsign: str | None = None) -> DataFrame:
-    """Rows that pass all filters, with altitude and trimmed callsign (``null_callsign`` stands for a missing one)."""
+    Rows without an aircraft pass too but never enter a segment: ``identified``
+    leaves them out before anything is shuffled, and keeps the partitioning by
+    (date, aircraft) that segmentation needs.
+    """
     rows = normalise(pings).where("lat is not null and lon is not null")
-    rows = rows.withColumn("first_", is_first(ordinal=ordinal)).where("first_ and not onground")
+    if identified:
+        rows, first = rows.where("icao24 is not null"), is_first(ordinal=ordinal)
+    else:
+        first = is_first(*KEY, unnamed_part(), ordinal=ordinal)
+    rows = rows.withColumn("first_", first).where(F.col("first_") & ~grounded())
     rows = rows.where(F.col("geoaltitude").between(p.min_alt_m, p.max_alt_m))
     callsign = F.trim("callsign") if null_callsign is None else F.coalesce(F.trim("callsign"), F.lit(null_callsign))
     return rows.drop("first_").withColumns({"altitude": F.col("geoaltitude"), "callsign": callsign})

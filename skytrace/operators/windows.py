@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytrace.config import Sequences
@@ -12,12 +12,24 @@ from skytrace.schemas import require
 
 def validated(rows: DataFrame, p: Sequences, what: str = "sequences") -> DataFrame:
     """Required columns only, complete rows only."""
-    required = ["segment_id", "time", *p.features]
+    required = _required(p)
     require(rows.columns, required, what)
     keep = [*required, *(["split"] if "split" in rows.columns else [])]
     return rows.select(*keep).na.drop(subset=required)
 
 
+def _required(p: Sequences) -> list[str]:
+    return ["segment_id", "time", *p.features]
+
+
+def incomplete(p: Sequences) -> Column:
+    """Number of rows that ``validated`` drops, as a count to observe."""
+    missing = F.lit(False)
+    for c in _required(p):
+        missing = missing | F.col(c).isNull() | F.coalesce(F.isnan(F.col(c).cast("double")), F.lit(False))
+    return F.count_if(missing)
+
+
 def normalisation(train: DataFrame, p: Sequences) -> DataFrame:
     """(feature, mean, std): sample deviation over all train rows; zero counts as one."""
     stats = train.agg(*(F.avg(f).alias(f"mean_{i}") for i, f in enumerate(p.features)), *(F.stddev_samp(f).alias(f"std_{i}") for i, f in enumerate(p.features)))

@@ -12,9 +12,10 @@ from skytrace.functions.numeric import round_even
 from skytrace.operators import islands, kinematics, outliers, partitioning, quality, stats, windows
 from skytrace.operators import registry as reg
 from skytrace.plans import stages
-from skytrace.plans.boundary import boundary
+from skytrace.plans.boundary import boundary, scratch
+from skytrace.plans.counters import Counters
 from skytrace.schemas import ENU_COLUMNS
-from skytrace.sources import fixtures
+from skytrace.sources import fixtures, sinks, states
 from skytrace.sources.fixtures import FIXTURE
 
 T, C, S = FIXTURE.trajectory, FIXTURE.cleaning, FIXTURE.sequences
@@ -36,6 +37,10 @@ def _cleaned(spark: SparkSession, d: str) -> DataFrame:
     return quality.clean(fixtures.pings(spark, d), T)
 
 
+def _tracked(spark: SparkSession, d: str) -> DataFrame:
+    return quality.clean(fixtures.pings(spark, d), T, identified=True)
+
+
 def _segments(spark: SparkSession, d: str) -> DataFrame:
     return stages.trajectory_segments(fixtures.pings(spark, d), FIXTURE)
 
@@ -66,7 +71,7 @@ def _windows(spark: SparkSession, d: str) -> DataFrame:
 
 def _stages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Rows and windows over one run of what comes before."""
-    routed = boundary(_routed(spark, d))
+    routed = _routed(spark, d)
     return windows.validated(routed, S), stages.sequence_windows(routed, FIXTURE)
 
 
@@ -116,19 +121,19 @@ def dedupe_first(spark, d):
 
 
 def ping_deltas(spark, d):
-    return _round(islands.with_deltas(_cleaned(spark, d)).select("event_id", "dt_s", "dist_m", "implied_mps"), PLACES)
+    return _round(islands.with_deltas(_tracked(spark, d)).select("event_id", "dt_s", "dist_m", "implied_mps"), PLACES)
 
 
 def cut_flags(spark, d):
-    return islands.with_cuts(_cleaned(spark, d), T).select("event_id", "time_cut", "speed_cut")
+    return islands.with_cuts(_tracked(spark, d), T).select("event_id", "time_cut", "speed_cut")
 
 
 def segment_islands(spark, d):
-    return islands.with_durations(islands.with_cuts(_cleaned(spark, d), T)).select("event_id", "icao24", "date", "island", "duration_s")
+    return islands.with_durations(islands.with_cuts(_tracked(spark, d), T)).select("event_id", "icao24", "date", "island", "duration_s")
 
 
 def split_counters(spark, d):
-    return islands.split_counters(_cleaned(spark, d), T)
+    return islands.split_counters(_tracked(spark, d), T)
 
 
 def segment_rows(spark, d):
@@ -192,11 +197,11 @@ def split_rows(spark, d):
 
 
 def split_summary(spark, d):
-    return partitioning.split_statistics(boundary(_routed(spark, d)))
+    return partitioning.split_statistics(_routed(spark, d))
 
 
 def split_summary_sampled(spark, d):
-    return partitioning.split_statistics(boundary(_routed(spark, d)), sample_every=10)
+    return partitioning.split_statistics(_routed(spark, d), sample_every=10)
 
 
 def split_overlap_check(spark, d):
@@ -228,11 +233,93 @@ def sanity_checks(spark, d):
     return windows.sanity_checks(cut, rows, S)
 
 
+def rough_drop_counts(spark, d):
+    return quality.drop_counts(fixtures.rough_pings(spark, d), T)
+
+
+def rough_filtered(spark, d):
+    return _round(quality.clean(fixtures.rough_pings(spark, d), T).select("event_id", "icao24", "time", "lat", "altitude", "date"), PLACES)
+
+
+def rough_skip_reasons(spark, d):
+    return kinematics.skip_report(kinematics.with_enu(fixtures.rough_segments(_segments(spark, d))))
+
+
+def short_segment_summary(spark, d):
+    """Stage 06 over all located segments, also those under three points."""
+    rows = outliers.cleaning_summary(_marked(spark, d).drop("skip_reason"), C)
+    return _round(rows.select("segment_id", "n_points", "duration_s", "max_speed_mps", "max_accel_mps2", "drop_reason"), PLACES)
+
+
+def state_files(spark, d):
+    """Hourly files written, and read back with a date that has none."""
+    rows = states.hourly_states(spark, fixtures.archive(spark, d), (*FIXTURE.dates, "2031-01-01"))
+    return rows.select("time", "icao24", "lat", "lon", "geoaltitude", "onground", F.trim("callsign").alias("callsign"), "date", "source_file")
+
+
+def registry_file(spark, d):
+    return states.registry(spark, f"{fixtures.archive(spark, d)}/registry.csv")
+
+
+def split_sink(spark, d):
+    """Rows written by split over an earlier run's table, and read back."""
+    path = scratch(spark, "splits")
+    routed = _routed(spark, d).select("event_id", "segment_id", "split")
+    sinks.write_parquet(routed.withColumn("split", F.lit("old")), path, "split")
+    sinks.write_parquet(routed, path, "split")
+    return spark.read.parquet(path).select("event_id", "segment_id", F.col("split").cast("string").alias("split"))
+
+
+def date_sink(spark, d):
+    """Rows written by date: what is written again replaces its dates only, even if nothing is left of one."""
+    path, rows = scratch(spark, "states"), _cleaned(spark, d).select("event_id", "date")
+    first, second = FIXTURE.dates
+    sinks.write_partitions(rows, path, "date", FIXTURE.dates)
+    sinks.write_partitions(rows.where("event_id % 2 = 0"), path, "date", (second,))
+    sinks.write_partitions(rows, path, "date", ("2031-01-01",))
+    return spark.read.parquet(path).select("event_id", F.col("date").cast("string").alias("date"))
+
+
+def tensor_sink(spark, d):
+    """The train tensor as written to a file and read back, a row a step."""
+    import tempfile
+
+    import numpy as np
+
+    train = boundary(_windows(spark, d).where("split = 'train'"))
+    n, length, width = train.count(), S.sequence_length, len(S.features)
+    with tempfile.TemporaryDirectory() as folder:
+        sinks.export_tensor(train, f"{folder}/x.npy", n, length, width)
+        x = np.load(f"{folder}/x.npy")
+    rows = [(i, k, *map(float, x[i, k])) for i in range(n) for k in range(length)]
+    columns = ", ".join(f"{f} double" for f in S.features)
+    return _round(spark.createDataFrame(rows, f"sequence_id bigint, step bigint, {columns}"), {f: 6 for f in S.features})
+
+
+def cleaning_counters(spark, d):
+    """Rows and segments in and out of stage 06, counted while it is written."""
+    seen, enu = Counters(), boundary(_enu(spark, d))
+    boundary(seen.watch(stages.clean_segments(seen.watch(enu, "in"), FIXTURE), "out"))
+    boundary(seen.watch(outliers.cleaning_summary(enu, C), "segments", kept=F.count_if(F.col("drop_reason") == "keep")))
+    told = seen.told()
+    return spark.createDataFrame([(told["in"]["rows"], told["out"]["rows"], told["segments"]["rows"], told["segments"]["kept"])], "rows_in bigint, rows_out bigint, segments_in bigint, segments_kept bigint")
+
+
+def incomplete_rows(spark, d):
+    """Rows that stage 08 drops as incomplete, counted while the rest is written."""
+    seen = Counters()
+    holes = _clean(spark, d).withColumns({"E_m": F.when(F.col("event_id") % 23 != 0, F.col("E_m")), "vN_mps": F.when(F.col("event_id") % 29 == 0, F.lit(float("nan"))).otherwise(F.col("vN_mps"))})
+    boundary(seen.watch(windows.validated(seen.watch(holes, "rows", dropped=windows.incomplete(S)), S), "complete"))
+    told = seen.told()
+    return spark.createDataFrame([(told["rows"]["rows"], told["rows"]["dropped"], told["complete"]["rows"])], "rows bigint, dropped bigint, complete bigint")
+
+
 ALL = [
     registry_brand_filter, registry_model_filter, registry_size, states_semi_registry, haversine, geodetic_enu, quality_filtered, quality_drop_counts, dedupe_first, ping_deltas, cut_flags,
     segment_islands, split_counters, segment_rows, segment_summary, run_kpis, enu_coordinates, enu_velocity, enu_summary, enu_skip_reasons, origin_audit, kinematics_accel, cleaning_summary,
     drop_reason_histogram, clean_rows, dropped_segments, split_assignment, split_rows, split_summary, split_summary_sampled, split_overlap_check, norm_stats, sequence_windows, sequence_metadata,
-    sequence_dataset_summary, normalised_moments, sanity_checks,
+    sequence_dataset_summary, normalised_moments, sanity_checks, rough_drop_counts, rough_filtered, rough_skip_reasons, short_segment_summary, state_files, registry_file, split_sink, date_sink,
+    tensor_sink, cleaning_counters, incomplete_rows,
 ]
 
 
@@ -325,6 +412,20 @@ STEPS: dict[str, str] = {
       ELSE false END""",
 }
 
+STEPS |= {
+    "rough": """SELECT * REPLACE (CASE WHEN event_id % 13 <> 0 THEN onground END AS onground, CASE WHEN event_id % 17 <> 0 THEN geoaltitude END AS geoaltitude,
+      CASE WHEN event_id % 31 <> 0 THEN icao24 END AS icao24, CASE WHEN event_id % 43 <> 0 THEN lat END AS lat) FROM pings""",
+    "rough_numbered": "SELECT *, lat IS NOT NULL AND lon IS NOT NULL AS p, row_number() OVER (PARTITION BY date, icao24, time, lat IS NOT NULL AND lon IS NOT NULL ORDER BY event_id) AS rn FROM rough",
+    "rough_segs": """SELECT event_id, segment_id, time, CASE WHEN event_id % 19 <> 0 THEN lat END AS lat, event_id % 101 = 0 AS endless FROM
+      (SELECT event_id, segment_id, time, lat FROM segs UNION ALL SELECT event_id + 2000000000, segment_id, time, lat FROM segs WHERE event_id % 7 = 0)""",
+    "rough_usable": "SELECT segment_id, count(*) AS n, bool_or(endless) AS endless FROM (SELECT *, row_number() OVER (PARTITION BY segment_id, time ORDER BY event_id) AS rn FROM rough_segs WHERE lat IS NOT NULL) WHERE rn = 1 GROUP BY segment_id",
+    "enu_all": STEPS["enu"].replace("WHERE n >= 3 ", ""),
+    "axes_all": STEPS["accel_axes"].replace("FROM enu ", "FROM enu_all "),
+    "accel_all": STEPS["accel"].replace("FROM accel_axes", "FROM axes_all"),
+    "window_shapes": f"SELECT split, sequence_id, count(*) = {_LENGTH} AND count(DISTINCT step) = {_LENGTH} AND min(step) = 0 AND max(step) = {_LENGTH - 1} AS whole FROM steps GROUP BY split, sequence_id",
+    "expected_windows": f"SELECT split, sum((n - {_LENGTH}) // {_STRIDE} + 1) AS n FROM (SELECT split, segment_id, count(*) AS n FROM routed GROUP BY ALL) WHERE n >= {_LENGTH} GROUP BY split",
+}
+
 
 def _sql(select: str) -> str:
     """``select`` with the steps that it rests on, in order."""
@@ -371,6 +472,8 @@ def _split_stats(sampled: bool) -> str:
 def oracle_sql() -> dict[str, str]:
     minutes = lambda f: f"printf('%.1f min', {f}(duration_seconds / 60.0))"
     summary_cols = ["max_abs_E_m", "max_abs_N_m", "max_abs_U_m", "mean_speed_mps", "max_speed_mps"]
+    bad = " OR ".join(f"{f} IS NULL OR isnan({f})" for f in S.features)
+    endless = " OR ".join(f"isinf({f})" for f in S.features)
     metric_cols = [f"{n}_{c}" for c in ("speed_mps", "accel_mps2") for n in ("mean", "p95", "max")]
     texts = {
         "registry_brand_filter": "SELECT * FROM branded",
@@ -399,7 +502,7 @@ def oracle_sql() -> dict[str, str]:
         "enu_summary": f"""SELECT {_cols('segment_id', 'n_points', 'start_time', 'end_time', 'duration_s', *summary_cols)} FROM (SELECT segment_id, count(*) AS n_points, min(time) AS start_time, max(time) AS end_time, max(time) - min(time) AS duration_s,
           max(abs(E_m)) AS max_abs_E_m, max(abs(N_m)) AS max_abs_N_m, max(abs(U_m)) AS max_abs_U_m, avg(sqrt(vE_mps * vE_mps + vN_mps * vN_mps + vU_mps * vU_mps)) AS mean_speed_mps, max(sqrt(vE_mps * vE_mps + vN_mps * vN_mps + vU_mps * vU_mps)) AS max_speed_mps FROM enu GROUP BY segment_id)""",
         "enu_skip_reasons": "SELECT 'too_few_points (' || n || ')' AS skip_reason, count(DISTINCT segment_id) AS segments FROM placed WHERE n < 3 GROUP BY n",
-        "origin_audit": f"SELECT {_r('max(greatest(abs(E_m), abs(N_m), abs(U_m)))', 4, 'max_origin_m')}, 0::BIGINT AS nulls FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY time) AS rn FROM enu) WHERE rn = 1",
+        "origin_audit": f"SELECT {_r('max(greatest(abs(E_m), abs(N_m), abs(U_m)))', 4, 'max_origin_m')}, (SELECT {' + '.join(f'count_if({c} IS NULL OR isnan({c}))' for c in ENU_COLUMNS)} FROM enu)::BIGINT AS nulls FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY time) AS rn FROM enu) WHERE rn = 1",
         "kinematics_accel": f"SELECT {_cols('event_id', 'segment_id', 'speed_mps', 'aE_mps2', 'aN_mps2', 'aU_mps2', 'accel_mps2')} FROM accel",
         "cleaning_summary": f"SELECT {_cols('segment_id', 'n_points', 'start_time', 'end_time', 'duration_s', *metric_cols, 'drop_reason')} FROM cleaning",
         "drop_reason_histogram": "SELECT drop_reason, count(*) AS segments FROM cleaning GROUP BY drop_reason",
@@ -419,8 +522,25 @@ def oracle_sql() -> dict[str, str]:
           LEFT JOIN (SELECT split, count(*) AS n FROM starts GROUP BY split) q ON q.split = t.split GROUP BY t.split, q.n""",
         "normalised_moments": " UNION ALL ".join(f"SELECT '{f}' AS feature, {_r(f'avg({f})', 6, 'norm_mean')}, {_r(f'stddev_pop({f})', 6, 'norm_std')} FROM steps WHERE split = 'train'" for f in S.features),
         "sanity_checks": f"""SELECT unnest(['train windows have rank 3', 'test windows have rank 3', 'window shape is ({_LENGTH}, {len(S.features)})', 'no NaN in train', 'no NaN in test', 'no infinity in train', 'no segment in both splits',
-          'metadata rows equal sequences (train)', 'metadata rows equal sequences (test)']) AS "check", unnest([g AND k, g AND k, g AND k, nan = 0, nan = 0, inf = 0, shared = 0, g, g]) AS passed FROM
-          (SELECT (SELECT count(*) = {_LENGTH} * (SELECT count(*) FROM starts) FROM steps) AS g, true AS k, (SELECT count_if(E_m IS NULL OR isnan(E_m)) FROM steps) AS nan, (SELECT count_if(isinf(E_m)) FROM steps WHERE split = 'train') AS inf,
-          (SELECT count(*) FROM (SELECT segment_id FROM assigned GROUP BY segment_id HAVING count(DISTINCT split) > 1)) AS shared)""",
+          'metadata rows equal sequences (train)', 'metadata rows equal sequences (test)']) AS "check", unnest([tr, te, tr AND te, nan_tr = 0, nan_te = 0, inf_tr = 0, shared = 0, got_tr = want_tr, got_te = want_te]) AS passed FROM
+          (SELECT (SELECT coalesce(bool_and(whole), true) FROM window_shapes WHERE split = 'train') AS tr, (SELECT coalesce(bool_and(whole), true) FROM window_shapes WHERE split = 'test') AS te,
+          (SELECT count_if({bad}) FROM steps WHERE split = 'train') AS nan_tr, (SELECT count_if({bad}) FROM steps WHERE split = 'test') AS nan_te, (SELECT count_if({endless}) FROM steps WHERE split = 'train') AS inf_tr,
+          (SELECT count(*) FROM (SELECT segment_id FROM starts GROUP BY segment_id HAVING count(DISTINCT split) > 1)) AS shared,
+          (SELECT count(*) FROM starts WHERE split = 'train') AS got_tr, (SELECT count(*) FROM starts WHERE split = 'test') AS got_te,
+          (SELECT coalesce(max(n), 0) FROM expected_windows WHERE split = 'train') AS want_tr, (SELECT coalesce(max(n), 0) FROM expected_windows WHERE split = 'test') AS want_te)""",
+        "rough_drop_counts": f"""SELECT date, count(*) AS raw, count_if(s = 0)::BIGINT AS lat_lon, count_if(s = 1)::BIGINT AS duplicates, count_if(s = 2)::BIGINT AS onground, count_if(s = 3)::BIGINT AS alt_missing, count_if(s = 4)::BIGINT AS alt_range, count_if(s = 5)::BIGINT AS after_filter FROM
+          (SELECT date, CASE WHEN NOT p THEN 0 WHEN rn > 1 THEN 1 WHEN coalesce(onground, true) THEN 2 WHEN geoaltitude IS NULL THEN 3 WHEN geoaltitude NOT BETWEEN {T.min_alt_m} AND {T.max_alt_m} THEN 4 ELSE 5 END AS s FROM rough_numbered) GROUP BY date""",
+        "rough_filtered": f"SELECT event_id, icao24, time, {_r('lat', 6)}, {_r('geoaltitude', 6, 'altitude')}, date FROM rough_numbered WHERE p AND rn = 1 AND NOT onground AND geoaltitude BETWEEN {T.min_alt_m} AND {T.max_alt_m}",
+        "rough_skip_reasons": "SELECT CASE WHEN n < 3 THEN 'too_few_points (' || n || ')' ELSE 'nan_in_output' END AS skip_reason, count(*) AS segments FROM rough_usable WHERE n < 3 OR endless GROUP BY 1",
+        "short_segment_summary": f"""SELECT segment_id, n_points, duration_s, {_r('max_speed_mps', 6)}, {_r('max_accel_mps2', 8)}, CASE WHEN n_points < 3 THEN 'too_few_points' WHEN max_speed_mps > {C.max_speed_mps} AND max_accel_mps2 > {C.max_accel_mps2} THEN 'speed_and_accel_outlier'
+          WHEN max_speed_mps > {C.max_speed_mps} THEN 'speed_outlier' WHEN max_accel_mps2 > {C.max_accel_mps2} THEN 'accel_outlier' ELSE 'keep' END AS drop_reason FROM
+          (SELECT segment_id, count(*) AS n_points, max(time) - min(time) AS duration_s, CASE WHEN count(*) >= 3 THEN max(speed_mps) END AS max_speed_mps, CASE WHEN count(*) >= 3 THEN max(accel_mps2) END AS max_accel_mps2 FROM accel_all GROUP BY segment_id)""",
+        "state_files": "SELECT time, icao24, lat, lon, geoaltitude, onground, trim(callsign) AS callsign, date, 'states_' || date || '-0' || (event_id % 2) || '.csv' AS source_file FROM pings",
+        "registry_file": "SELECT icao24, manufacturername, model FROM aircraft",
+        "split_sink": "SELECT event_id, segment_id, split FROM routed",
+        "date_sink": f"SELECT event_id, date FROM cleaned WHERE date = '{FIXTURE.dates[0]}' OR event_id % 2 = 0",
+        "tensor_sink": f"SELECT sequence_id, step, {', '.join(_r(f, 6) for f in S.features)} FROM steps WHERE split = 'train'",
+        "cleaning_counters": "SELECT (SELECT count(*) FROM enu) AS rows_in, (SELECT count(*) FROM clean) AS rows_out, (SELECT count(*) FROM cleaning) AS segments_in, (SELECT count(*) FROM cleaning WHERE drop_reason = 'keep') AS segments_kept",
+        "incomplete_rows": "SELECT count(*) AS rows, count_if(event_id % 23 = 0 OR event_id % 29 = 0)::BIGINT AS dropped, count_if(event_id % 23 <> 0 AND event_id % 29 <> 0)::BIGINT AS complete FROM clean",
     }
     return {name: _sql(text) for name, text in texts.items()}

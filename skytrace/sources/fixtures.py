@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytrace.config import KNOT, Cleaning, Config, Sequences, Split, Trajectory
+from skytrace.plans.boundary import scratch
+from skytrace.schemas import STATES
 
 #: The tables are sampled far more sparsely than real tracks, so all limits are wider.
 FIXTURE = Config(
@@ -36,6 +38,43 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(again)
 
 
+def rough_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings of which some lack the aircraft, the ground flag, or have NaN for a position or altitude."""
+    nan, k = F.lit(float("nan")), F.col("event_id")
+    changes = {"onground": (13, F.lit(None).cast("boolean")), "geoaltitude": (17, nan), "icao24": (31, F.lit(None).cast("string")), "lat": (43, nan)}
+    return pings(spark, sf_dir).withColumns({c: F.when(k % n == 0, x).otherwise(F.col(c)) for c, (n, x) in changes.items()})
+
+
+def rough_segments(segments: DataFrame) -> DataFrame:
+    """Segment rows with second pings at the same time, missing latitudes and a few endless longitudes."""
+    k = F.col("event_id")
+    again = segments.where(k % 7 == 0).withColumns({"event_id": k + 2_000_000_000, "altitude": F.col("altitude") + 1})
+    rows = segments.unionByName(again)
+    return rows.withColumns({"lat": F.when(k % 19 != 0, F.col("lat")), "lon": F.when(k % 101 == 0, F.lit(float("inf"))).otherwise(F.col("lon"))})
+
+
+def archive(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the pings as hourly state files, two a date, and the registry as ``registry.csv``."""
+    folder = scratch(spark, "archive")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def single(df: DataFrame, name: str) -> None:
+        options = {"header": True, "nullValue": "nan", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        df.coalesce(1).write.options(**options).csv(f"{folder}/parts-{name}")
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        written = fs.globStatus(path(f"{folder}/parts-{name}/part-*.csv"))
+        fs.rename(written[0].getPath(), path(f"{folder}/{name}"))
+
+    rows = pings(spark, sf_dir)
+    columns = [F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in STATES]
+    for date in FIXTURE.dates:
+        for hour in range(2):
+            mine = rows.where((F.col("date") == date) & (F.col("event_id") % 2 == hour)).orderBy("event_id")
+            single(mine.select(*columns), f"states_{date}-{hour:02d}.csv")
+    single(registry(spark, sf_dir).select("model", "icao24", F.lit("x").alias("owner"), "manufacturername"), "registry.csv")
+    return folder
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_type")
     kind = F.col("p_partkey") % 7

@@ -106,6 +106,19 @@ def test_split_is_a_seeded_prefix(spark):
     assert partitioning.overlap(partitioning.assign(df, p)).first().ok
 
 
+def test_percentiles_are_exact(spark):
+    from skytrace.operators.quantiles import percentiles
+
+    rng = np.random.default_rng(3)
+    rows = [("a", float(x), 1.0) for x in rng.normal(size=5000) ** 3] + [("b", float(x), None) for x in rng.integers(0, 4, 3000)] + [("c", None, None)]
+    df = spark.createDataFrame(rows, "split string, x double, y double")
+    for share in (0.0, 0.5, 0.95, 1.0):
+        got = percentiles(df, "split", ["x", "y"], share, few=20, bins=16)
+        for g in "ab":
+            assert got[g, "x"] == pytest.approx(np.quantile([x for s, x, _ in rows if s == g], share), rel=1e-12)
+        assert got["a", "y"] == 1.0 and got["b", "y"] is None and got["c", "x"] is None
+
+
 def test_rounding(spark):
     values = [0.25, 0.35, 22861.55, 2.05, 1e6 / 60, 0.0, 5.95, 1371693 / 60]
     df = spark.createDataFrame([(v,) for v in values], "x double")

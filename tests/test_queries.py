@@ -56,6 +56,7 @@ def test_laws(spark, sf):
     cleaned = quality.clean(pings, t)
     segments = stages.trajectory_segments(pings, FIXTURE)
     n = segments.count()
+    cleaned = cleaned.where("icao24 is not null")
     assert n + sum(r.pings_discarded for r in islands.split_counters(cleaned, t).collect()) == cleaned.count() == sum(r.after_filter for r in drops)
     ids = sorted(r[0] for r in segments.select("segment_id").distinct().collect())
     assert ids == list(range(len(ids)))
@@ -65,7 +66,7 @@ def test_laws(spark, sf):
 
 def test_one_shuffle_by_aircraft(spark, sf):
     """Filters, dedupe, cuts and durations share one exchange; the filter on position reaches the scan side of it."""
-    df = islands.with_durations(islands.with_cuts(quality.clean(fixtures.pings(spark, sf), FIXTURE.trajectory), FIXTURE.trajectory))
+    df = islands.with_durations(islands.with_cuts(quality.clean(fixtures.pings(spark, sf), FIXTURE.trajectory, identified=True), FIXTURE.trajectory))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
 
@@ -142,6 +143,27 @@ def test_streaming_ingest(spark, files, tmp_path):
     assert n == want == spark.read.parquet(str(tmp_path / "out")).count() > 0
 
 
+def test_a_second_run_leaves_nothing_of_the_first(spark, files, tmp_path):
+    paths = Paths(str(files / "archive"), str(files / "registry.csv"), str(tmp_path / "out"))
+    both = Config((*FIXTURE.dates, "2031-01-01"), FIXTURE.trajectory, FIXTURE.cleaning, FIXTURE.split, FIXTURE.sequences, paths)
+    counts = stages.run_ingest(spark, both)
+    assert counts["raw states"]["rows"] == fixtures.pings(spark, "/root/testdata/sf0.001").count() and counts["registry kept"]["rows"] < counts["registry"]["rows"]
+    stages.run_pipeline(spark, both)
+    one = Config(FIXTURE.dates[:1], FIXTURE.trajectory, FIXTURE.cleaning, FIXTURE.split, FIXTURE.sequences, paths)
+    told = stages.run_pipeline(spark, one)
+    read = lambda name: spark.read.parquet(f"{tmp_path}/out/{name}")
+    assert {r[0] for r in read("segments").select("date").distinct().collect()} == set(FIXTURE.dates[:1])
+    assert {str(r[0]) for r in read("states").select("date").distinct().collect()} == set(FIXTURE.dates)
+    assert told["rows after cleaning"]["rows"] == read("clean").count() and told["rows before cleaning"]["rows"] == read("enu").count()
+    assert told["checked segments"]["kept"] == read("cleaning_summary").where("drop_reason = 'keep'").count()
+    assert states.hourly_states(spark, str(files / "archive"), ("2031-01-01",)).count() == 0
+
+
+def test_plans_sort_and_window_little(spark, sf):
+    plan = queries.segment_summary(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") <= 9
+
+
 def test_nan_is_missing(spark):
     df = spark.createDataFrame([(float("nan"), 1.0), (2.0, None)], "lat double, lon double")
     assert quality.normalise(df).where(F.col("lat").isNull()).count() == 1
