@@ -9,11 +9,14 @@ equal windows have equal anchors at equal distance.  So only suffixes at anchors
 whose gram occurs twice in the corpus are sorted, and windows are told apart by
 the sorted order to the right of the anchor and to its left:
 
-1. ``repeated_anchors``: hashes of anchors are dealt by value in packed arrays; what
-   occurs twice comes back as ordinals by document.
+1. ``repeated_anchors``: hashes of anchors are dealt by value in packed arrays, each
+   once from a slice of texts; what occurs twice comes back as ordinals by document.
+   Hashes from many slices are told too: hot ones.
 2. ``suffix_runs``: each task cuts the texts around those anchors, sorts them, drops
    what has the same surroundings as an earlier one (all of whose windows are
-   repeats), front-codes the sorted run and deals it by gram.
+   repeats), front-codes the sorted run and deals it by gram.  A hot gram's suffixes
+   are dealt by ranges of the distance from window to anchor instead, each with all
+   the bytes that windows of that range share: a share then holds real repeats only.
 3. ``merge``: a loser tree merges the runs of a share.  Every stream carries the
    length of its common prefix with the last winner: where two differ, they
    decide; where they agree, bytes are compared from there on.  The merged order
@@ -33,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +50,10 @@ SLICE = 2 << 20
 RUN_BYTES = 16 << 20
 #: Shares of suffixes by shuffle partition; a task has one in hand at a time.
 SHARES = 4
+#: Slices with a gram beyond which its suffixes are dealt by ranges, and how many grams may be (layout only).
+HOT, MOST_HOT, RANGES = 4096, 1 << 20, 8
 NO_ID = -(1 << 63)
+NOBODY = np.uint32(0xFFFFFFFF)
 PLACE = np.uint64((1 << 24) - 1)
 STEP = 1 << 23
 
@@ -100,8 +107,12 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text.alias("text")).withColumn("dkey", F.xxhash64("doc_id", "text"))
 
 
-def repeated_anchors(docs: DataFrame, length: int, shares: int) -> DataFrame:
-    """(dkey, marks): little-endian ordinals of a document's anchors whose gram occurs twice or more."""
+def repeated_anchors(docs: DataFrame, length: int, shares: int, hot: int = HOT) -> DataFrame:
+    """(hot, dkey, marks): little-endian ordinals of a document's anchors whose gram occurs twice or more.
+
+    Where ``hot`` is true, ``dkey`` is a gram's 48 bits instead, and there are no marks.
+    """
+    schema = "share int, bits binary, dkeys binary, refs binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in tb.slices(batches, "text", SLICE):
@@ -109,45 +120,72 @@ def repeated_anchors(docs: DataFrame, length: int, shares: int) -> DataFrame:
             row = np.searchsorted(off, place, "right") - 1
             ordinal = np.arange(len(place)) - np.searchsorted(place, off)[row]
             dkey = batch.column(1).to_numpy(zero_copy_only=False)
-            share = (h % np.uint64(shares)).astype(np.int64)
-            order = np.argsort(share, kind="stable")
-            bounds = np.searchsorted(share[order], np.arange(shares + 1))
+            # 48 bits of the hash: a false repeat costs work, not truth
+            short = h >> np.uint64(16)
+            _, first, inverse, count = np.unique(short, return_index=True, return_inverse=True, return_counts=True)
+            again = count[inverse] > 1
             out: list[list] = [[], [], [], []]
-            for s in np.flatnonzero(np.diff(bounds)).tolist():
-                at = order[bounds[s] : bounds[s + 1]]
+
+            def add(share: int, at: np.ndarray, bits: bytes) -> None:
                 rows, local = np.unique(row[at], return_inverse=True)
-                # 48 bits of the hash: a false repeat costs work, not truth
-                bits = (h[at] >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                values = (s, bits.tobytes(), dkey[rows].tobytes(), np.stack([local, ordinal[at]], 1).astype("<u4").tobytes())
+                local = np.where(again[at] & bool(bits), NOBODY, local)
+                values = (share, bits, dkey[rows].tobytes(), np.stack([local, ordinal[at]], 1).astype("<u4").tobytes())
                 for column, v in zip(out, values, strict=True):
                     column.append(v)
+
+            # what repeats inside the slice is known to, and is sent on once and for nobody
+            own = np.flatnonzero(again)
+            if len(own):
+                add(int(dkey[0] % shares), own, b"")
+            share = (h[first] % np.uint64(shares)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            bounds = np.searchsorted(share[order], np.arange(shares + 1))
+            for s in np.flatnonzero(np.diff(bounds)).tolist():
+                at = first[order[bounds[s] : bounds[s + 1]]]
+                add(s, at, short[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
             yield pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(x, pa.large_binary()) for x in out[1:])], names=["share", "bits", "dkeys", "refs"])
 
+    def marks(d: np.ndarray, o: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(d):
+            by = np.argsort(d, kind="stable")
+            d, o = d[by], o[by].astype("<u4")
+            cuts = np.append(np.flatnonzero(np.append(True, d[1:] != d[:-1])), len(d)).tolist()
+            found = pa.array([o[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.large_binary())
+            yield pa.record_batch([pa.array(np.zeros(len(cuts) - 1, bool)), pa.array(d[cuts[:-1]]), found], names=["hot", "dkey", "marks"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches):
             bits, dkeys, refs = [], [], []
             for b, d, r in rows:
+                ref = np.frombuffer(r, "<u4").reshape(-1, 2)
+                doc = np.frombuffer(d, np.int64)
+                if not b:
+                    yield from marks(doc[ref[:, 0]], ref[:, 1])
+                    continue
                 raw = np.zeros((len(b) // 6, 8), np.uint8)
                 raw[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-                ref = np.frombuffer(r, "<u4").reshape(-1, 2)
                 bits.append(raw.view("<u8").reshape(-1))
-                dkeys.append(np.frombuffer(d, np.int64)[ref[:, 0]])
-                refs.append(ref[:, 1])
-            h, d, o = np.concatenate(bits), np.concatenate(dkeys), np.concatenate(refs)
-            ordered = np.sort(h)
-            twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-            if not len(twice):
+                dkeys.append(doc[np.minimum(ref[:, 0], len(doc) - 1)])
+                refs.append(ref)
+            if not bits:
                 continue
-            hit = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, h), len(twice) - 1)] == h)
-            hit = hit[np.argsort(d[hit], kind="stable")]
-            d, o = d[hit], o[hit].astype("<u4")
-            cuts = np.append(np.flatnonzero(np.append(True, d[1:] != d[:-1])), len(d)).tolist()
-            marks = pa.array([o[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.large_binary())
-            yield pa.record_batch([pa.array(d[cuts[:-1]]), marks], names=["dkey", "marks"])
+            h, d, ref = np.concatenate(bits), np.concatenate(dkeys), np.concatenate(refs)
+            known, inverse, slices_ = np.unique(h, return_inverse=True, return_counts=True)
+            several = np.bincount(inverse[ref[:, 0] == NOBODY], minlength=len(known)) > 0
+            hit = np.flatnonzero((several | (slices_ > 1))[inverse] & (ref[:, 0] != NOBODY))
+            yield from marks(d[hit], ref[hit, 1])
+            for g, n in zip(known[slices_ > hot].tolist(), slices_[slices_ > hot].tolist()):
+                yield pa.record_batch([pa.array([True]), pa.array([g]), pa.array([int(n).to_bytes(8, "big")], pa.large_binary())], names=["hot", "dkey", "marks"])
+
+    dealt = docs.select("text", "dkey").mapInArrow(deal, schema)
+    back = dealt.repartition(shares, "share").sortWithinPartitions("share").mapInArrow(find, "hot boolean, dkey long, marks binary")
+    return back.groupBy("hot", "dkey").agg(F.collect_list("marks").alias("marks"))
 
-    dealt = docs.select("text", "dkey").mapInArrow(deal, "share int, bits binary, dkeys binary, refs binary")
-    back = dealt.repartition(shares, "share").sortWithinPartitions("share").mapInArrow(find, "dkey long, marks binary")
-    return back.groupBy("dkey").agg(F.collect_list("marks").alias("marks"))
+
+def hot_grams(found: DataFrame, most: int = MOST_HOT) -> np.ndarray:
+    """48 bits of the grams that stand in most slices, in order; at most so many."""
+    rows = found.where("hot").select("dkey", F.col("marks")[0].alias("n")).orderBy(F.desc("n"), "dkey").limit(most).toArrow()
+    return np.sort(rows.column("dkey").to_numpy())
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -214,8 +252,11 @@ def front_coded(share: int, items: list[tuple]) -> list:
     ]
 
 
-def suffix_runs(docs: DataFrame, marks: DataFrame, length: int, shares: int) -> DataFrame:
-    """Front-coded sorted runs of the suffixes at repeated anchors."""
+def suffix_runs(docs: DataFrame, marks: DataFrame, length: int, shares: int, hot: np.ndarray) -> DataFrame:
+    """Front-coded sorted runs of the suffixes at repeated anchors; those of ``hot`` grams by ranges of distance."""
+    span = length - GRAM + 1
+    edges = [span * k // RANGES for k in range(RANGES + 1)]
+    ranges = [(a, b - 1) for a, b in zip(edges, edges[1:]) if a < b]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
@@ -240,10 +281,21 @@ def suffix_runs(docs: DataFrame, marks: DataFrame, length: int, shares: int) ->
             raw = data.tobytes()
             shares_of = (h % np.uint64(shares)).tolist()
             places, firsts, lasts, starts = place.tolist(), first.tolist(), last.tolist(), off.tolist()
+            short = (h >> np.uint64(16)).astype(np.int64)
+            is_hot = (hot[np.minimum(np.searchsorted(hot, short), len(hot) - 1)] == short).tolist() if len(hot) else [False] * len(h)
             for i, parts in enumerate(marked):
                 at = np.frombuffer(b"".join(parts), "<u4").astype(np.int64) + begin[i]
                 for j in at[at < begin[i + 1]].tolist():
                     p, a, z = places[j], firsts[j], lasts[j]
+                    if is_hot[j]:
+                        for k, (near, far) in enumerate(ranges):
+                            # windows of this range that are equal agree on these bytes, so they meet
+                            x, y = max(near, p - z), min(far, p - a)
+                            if x <= y:
+                                share = xxhash.xxh64_intdigest(raw[p - near : p + length - far], k) % shares
+                                held.setdefault(share, []).append((raw[p : p + length - x], raw[p - y : p], x, doc_ids[i], dkeys[i], p - starts[i]))
+                                size += length - x + y
+                        continue
                     held.setdefault(shares_of[j], []).append((raw[p : z + length], raw[a:p], p - z, doc_ids[i], dkeys[i], p - starts[i]))
                     size += z + length - a
             if size >= RUN_BYTES:
@@ -405,12 +457,12 @@ def repeats(rows: list[list], length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
 
 
-def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """(doc_id, dkey, start, end): ranges of repeated bytes; they may overlap."""
     parts = shuffle_partitions(docs.sparkSession)
     shares = SHARES * parts
-    marks = materialise(repeated_anchors(docs, length, parts), "anchors")
-    runs = suffix_runs(docs, marks, length, shares)
+    found = materialise(repeated_anchors(docs, length, parts, hot), "anchors")
+    runs = suffix_runs(docs, found.where("not hot").drop("hot"), length, shares, hot_grams(found))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches):
@@ -434,14 +486,14 @@ def union(pairs: np.ndarray) -> np.ndarray:
     return np.stack([pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]], 1)
 
 
-def remove(docs: DataFrame, length: int = 100, keep_text: bool = False) -> DataFrame:
+def remove(docs: DataFrame, length: int = 100, keep_text: bool = False, hot: int = HOT) -> DataFrame:
     """``COLUMNS`` for every row of ``docs`` (doc_id, text), and what is kept as ``kept`` binary if asked for."""
     if length <= GRAM or length > 255:
         raise ValueError(f"the length must be over {GRAM} and under 256")
     prepare(docs.sparkSession)
     source = keyed(docs)
     spans = F.collect_list(F.struct(F.col("start"), F.col("end"))).alias("spans")
-    found = repeated_ranges(source, length).groupBy("doc_id", "dkey").agg(spans)
+    found = repeated_ranges(source, length, hot).groupBy("doc_id", "dkey").agg(spans)
     joined = source.join(found, ["doc_id", "dkey"], "left").select("doc_id", "text", F.col("spans.start").alias("start"), F.col("spans.end").alias("end"))
     names = [x.split()[0] for x in COLUMNS.split(", ")]
 

@@ -331,6 +331,16 @@ def test_suffix_dedup_of_random_repeats(spark):
     assert removed(df, length=40) == brute_removed(rows, 40)
 
 
+def test_suffix_dedup_of_hot_grams(spark, monkeypatch):
+    """A passage with ever different surroundings, dealt by ranges of distance, in slices of one text."""
+    rnd = random.Random(12)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(260))
+    noise = lambda n: "".join(rnd.choice("uvwxyz") for _ in range(n))
+    rows = [(i, noise(rnd.randint(0, 60)) + passage[rnd.choice((0, 0, 7)) : rnd.choice((260, 260, 251))] + rnd.choice(("", "same tail of some", noise(40)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(12)
+    assert removed(df, hot=2) == brute_removed(rows)
+
+
 @given(st.lists(st.lists(st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b)), max_size=12), min_size=1, max_size=6))
 @settings(max_examples=120, deadline=None)
 def test_loser_tree(runs):
