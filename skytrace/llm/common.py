@@ -35,6 +35,13 @@ def extended(df: DataFrame, columns: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(columns).fields])
 
 
+def with_columns(df: DataFrame, run, columns: str) -> DataFrame:
+    """``df`` plus ``columns``, which ``run`` appends to its Arrow batches; names that a batch function can't take are changed on the way."""
+    names = df.columns
+    plain = df.toDF(*(f"column {i}" if "." in n or "`" in n else n for i, n in enumerate(names)))
+    return plain.mapInArrow(run, extended(plain, columns)).toDF(*names, *T.StructType.fromDDL(columns).names)
+
+
 def quoted(names: list[str]) -> list:
     """Columns by name, whatever characters it holds."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skytrace.llm import textbatch as tb
-from skytrace.llm.common import extended, materialise, prepare, quoted
+from skytrace.llm.common import materialise, prepare, quoted, with_columns
 from skytrace.llm.components import components
 from skytrace.llm.hamming import ASKED, STORED, Tables, dealt, grouped, segments, shards
 from skytrace.llm.textbatch import slices
@@ -104,14 +104,13 @@ def fingerprints(docs: DataFrame, params: NearDupParams = NearDupParams(), name:
     """``docs`` (with ``text``) plus the fingerprint as a long; an input column of that name is replaced."""
     prepare(docs.sparkSession)
     rest = docs.drop(name)
-    schema = extended(rest, f"{name} long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text", 4 << 20):
             fp = fingerprint_slice(data, off, params).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp)], names=[*batch.schema.names, name])
 
-    return rest.mapInArrow(run, schema)
+    return with_columns(rest, run, f"{name} long")
 
 
 def layout(n: int, params: NearDupParams) -> Tables:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skytrace.llm import textbatch as tb
-from skytrace.llm.common import extended, materialise, prepare, quoted
+from skytrace.llm.common import extended, materialise, prepare, quoted, with_columns
 
 
 @dataclass(frozen=True)
@@ -240,7 +240,7 @@ def judge(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, *judged(batch, data, off, known.value, params)], names=[*batch.schema.names, *NAMES])
 
     if len(largest) < params.broadcast_languages or found.count() == len(largest):
-        return rest.mapInArrow(run, extended(rest, COLUMNS))
+        return with_columns(rest, run, COLUMNS)
     names = [r["lang"] for r in largest]
     common = F.col("lang").isin([x for x in names if x is not None]) if None not in names else F.col("lang").isNull() | F.col("lang").isin([x for x in names if x is not None])
     common = F.coalesce(common, F.lit(False))
@@ -257,4 +257,4 @@ def judge(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame
     r = found.select(F.col("lang").alias("of"), "entries")
     joined = others.join(r, others["lang"].eqNullSafe(r["of"])).select("row", "text", "lang", "entries")
     packed = joined.mapInArrow(run_joined, extended(others.select("row"), COLUMNS))
-    return rest.where(common).mapInArrow(run, extended(rest, COLUMNS)).unionByName(packed.select("row.*", *NAMES))
+    return with_columns(rest.where(common), run, COLUMNS).union(packed.select("row.*", *NAMES))

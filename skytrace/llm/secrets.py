@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skytrace.llm.common import extended, prepare
+from skytrace.llm.common import prepare, with_columns
 from skytrace.llm.textbatch import slices
 
 KINDS = ("assign", "access", "hex", "entropy")
@@ -187,7 +187,6 @@ def scan(docs: DataFrame, params: SecretParams = SecretParams(), redact: bool =
     """
     prepare(docs.sparkSession)
     rest = docs.drop(*NAMES)
-    schema = extended(rest, COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in slices(batches, "text"):
@@ -212,7 +211,7 @@ def scan(docs: DataFrame, params: SecretParams = SecretParams(), redact: bool =
                 columns[at] = pa.array(texts, pa.large_string())
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.int64()) for x in out[:3]), *(pa.array(x, pa.large_string()) for x in out[3:])], names=[*batch.schema.names, *NAMES])
 
-    return rest.mapInArrow(run, schema)
+    return with_columns(rest, run, COLUMNS)
 
 
 def redacted(text: str, spans: list[tuple[int, int, str]], placeholder: str) -> str:

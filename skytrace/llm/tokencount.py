@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skytrace.llm.common import extended, prepare
+from skytrace.llm.common import prepare, with_columns
 from skytrace.llm.textbatch import slices
 
 MARK = "▁"
@@ -226,7 +226,6 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     """``docs`` (any columns, with ``text``) plus ``COLUMNS``; input columns of these names are replaced."""
     prepare(docs.sparkSession)
     rest = docs.drop(*NAMES)
-    schema = extended(rest, COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, off in slices(batches, "text", 4 << 20):
@@ -234,4 +233,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
             n = np.array(count_texts(texts, path), np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(off)), pa.array(n), pa.array(n > limit)], names=[*batch.schema.names, *NAMES])
 
-    return rest.mapInArrow(run, schema)
+    return with_columns(rest, run, COLUMNS)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skytrace.llm import neardup, quality, queries, secrets
@@ -46,6 +47,39 @@ def test_run(spark, sf):
     assert got == want
 
 
+def test_stages_over_odd_rows(spark, odd, none, sf, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing names and empty tables, each stage on what the one before wrote."""
+    more = odd.withColumns({c: F.lit(c) for c in ("k1", "row", "spans", "size", "kept", "id", "h1", "a.b", "copies")})
+    for name, docs in (("odd", more), ("none", more.limit(0))):
+        for i, (stage, run) in enumerate(pipeline.STAGES[:-1]):
+            out = run(spark, docs, sf)
+            assert out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], stage
+            out.write.parquet(f"{tmp_path}/{name}{i}")
+            kept = spark.read.parquet(f"{tmp_path}/{name}{i}")
+            assert all(r["a.b"] == "a.b" and r["kept"] == "kept" for r in kept.collect())
+            if name == "none":
+                assert kept.count() == 0
+            elif stage == "quality_rules":
+                assert {r.doc_id for r in kept.collect()} <= {5, 6}  # the others have under 50 words
+                kept = more  # the next stages get all rows
+            elif stage == "simhash_near_dedup":
+                ids = [r.doc_id for r in kept.collect()]
+                # 1 and 2, 3, 4 and 8, 5 and 6, and 7 twice are copies
+                assert sorted(map(str, ids)) == sorted(map(str, [1, 3, 5, 7, 9, 10, None]))
+            elif stage == "secret_scans":
+                texts = {r.doc_id: r.text for r in kept.collect()}
+                assert "Abcdef123456789" not in texts[9] and "<|endoftext|>" in texts[9] and texts[3] is None
+            docs = kept
+        pieces = pipeline.STAGES[-1][1](spark, docs, sf).collect()
+        assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
+
+
+def test_redaction(odd, none):
+    rows = secrets.scan(odd, redact=True).collect()
+    assert len(rows) == odd.count() and all(not secrets.base_spans(r.text or "") for r in rows)
+    assert secrets.scan(none, redact=True).count() == 0
+
+
 def test_names():
     assert [n for n, _ in pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "secret_scans", "mix_sources", "pack_sequences"]
     assert [f"op{i}" for i in range(1, 11)] == [n.split("_")[0] for n in queries.queries()]

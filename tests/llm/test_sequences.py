@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skytrace.llm import hmm, mixing, packing
@@ -66,6 +67,16 @@ def test_ids_match_the_library(odd):
         assert packing.encode(t, BPE).tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_tokenizer_files_that_the_fast_encoder_cannot_read():
+    import json
+
+    with open(BPE, encoding="utf-8") as f:
+        file = json.load(f)
+    assert len(packing.plain_ranks(file)) == 50_256
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": []}, {"model": file["model"] | {"dropout": 0.1}}, {"model": file["model"] | {"merges": file["model"]["merges"][::-1]}}):
+        assert packing.plain_ranks(file | change) is None
+
+
 def brute_targets(sizes, params):
     weights = {s: params.weights[i % len(params.weights)] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     left, total, out = dict(weights), params.budget * sum(sizes.values()), {}
@@ -106,6 +117,49 @@ def test_mixing(documents, odd, none):
     assert mixing.copies(mixing.with_size(none).select("doc_id", "source", "size")).count() == 0
 
 
+def test_rates_balance_entropy(documents):
+    """The optimum's conditions: each source meets its target, and rates are tilts exp(m * size) cut at the cap, with one m a source."""
+    p = mixing.MixParams()
+    by_source = defaultdict(list)
+    for r in mixing.copies(mixing.with_size(documents).select("doc_id", "source", "size"), p).collect():
+        by_source[r.source].append(r)
+    tilted = 0
+    for rows in by_source.values():
+        assert sum(r.size * r.rate for r in rows) == pytest.approx(rows[0].target, rel=1e-6)
+        slopes = [math.log(r.rate) / r.size for r in rows if r.size and r.rate < p.cap * (1 - 1e-9)]
+        if slopes:
+            tilted += 1
+            assert slopes == pytest.approx([slopes[0]] * len(slopes), rel=1e-6)
+            assert all(r.rate == pytest.approx(min(p.cap, math.exp(slopes[0] * r.size)), rel=1e-6) for r in rows if r.size)
+    assert tilted
+    with pytest.raises(RuntimeError):
+        mixing.copies(mixing.with_size(documents).select("doc_id", "source", "size"), mixing.MixParams(max_steps=1))
+
+
+def test_targets_of_many_sources(spark):
+    rng = np.random.default_rng(4)
+    sizes = {(f"s{i:03d}" if i else None): int(rng.integers(0, 4000) ** 2 // 1000) for i in range(200)}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size bigint").repartition(7)
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    want = brute_targets(sizes, mixing.MixParams())
+    assert got == {s: pytest.approx(t, abs=1e-6) for s, t in want.items()}
+
+
+def test_equal_rows_fill_many_buckets(spark):
+    rows = [(None, "one", "same text of five words")] * 300 + [(i, "two", "a b c " * (i % 5)) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string").withColumn("id_", F.lit("x")).withColumn("hash_", F.rand(1)).repartition(4)
+    p = mixing.MixParams(bucket_rows=20)
+    sizes = mixing.with_size(df.drop("hash_")).select("doc_id", "source", "size")
+    found = mixing.copies(sizes, p)
+    assert found.count() == 400
+    target = {r.source: r.target for r in found.collect()}
+    for df_ in (df, df.drop("hash_")):
+        mixed = mixing.mix(df_, p)
+        assert mixed.columns == df_.columns
+        taken = {r.source: r.n for r in mixing.with_size(mixed).groupBy("source").agg(F.sum("size").alias("n")).collect()}
+        assert all(abs(taken[s] - t) <= 0.1 * t + 30 for s, t in target.items())
+
+
 def test_mix_repeats_rows(odd):
     light = mixing.with_size(odd).select("doc_id", "source", "size")
     want = Counter()
