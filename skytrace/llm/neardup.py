@@ -241,6 +241,8 @@ class DedupParams:
     split: int = 8
     #: Shingles of the sets that an exact comparison has in hand.
     shard_shingles: int = 2_000_000
+    #: Keys of linked texts that are broadcast to find them, at most; beyond that texts and keys are merged.
+    broadcast_keys: int = 1_000_000
     #: Links of a text that are compared in one go.
     hub_links: int = 256
 
@@ -374,8 +376,10 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, params: DedupParams) -> Da
             sets = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(grams.view(np.int64)))
             yield pa.record_batch([batch.column(0), sets.cast(pa.list_(pa.int64()))], names=["k1", "set"])
 
+    wanted = materialise(wanted, "dedup-wanted")
+    side = F.broadcast(wanted) if wanted.count() <= params.broadcast_keys else wanted
     # equal texts are one, whichever row comes first
-    texts = docs.select("k1", "text").join(wanted, "k1", "left_semi")
+    texts = docs.select("k1", "text").join(side, "k1", "left_semi")
     return materialise(texts.mapInArrow(run, "k1 long, set array<bigint>").groupBy("k1").agg(F.first("set").alias("set")), "dedup-sets")
 
 
@@ -551,7 +555,7 @@ def completed(source: DataFrame, classes: DataFrame, links: DataFrame, large: Da
     wide = not large.isEmpty()
     if wide:
         rows = rows.unionByName(unsearched(large, classes.select("k1", "keys"), strong, params).select(*names))
-    rows = materialise(rows.distinct(), "dedup-rows")
+    rows = materialise(rows.distinct() if wide else rows, "dedup-rows")
     count = F.ceil(F.greatest(F.col("n") / params.shard_rows, F.col("weight") / params.shard_shingles)).cast("int")
     placed = rows.join(bucket_state(rows), ["table", "value"]).withColumn("own", F.pmod(F.xxhash64("k1"), count).cast("int")).withColumn("asks", F.col("strong") != F.col("top"))
     dealt = placed.withColumn("shard", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), count - 1)).otherwise(F.array("own"))))

@@ -255,7 +255,7 @@ def test_refused_forest_links_split_no_group(spark):
     sets = [shingles(t) for t in made]
     low = join(len(made), ((i, j) for i in range(len(made)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), list(range(len(made))))
     df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string").repartition(3)
-    for changed in ({"shard_rows": 16, "shard_shingles": 2000}, {"shard_rows": 8, "split": 1, "hub_links": 4}):
+    for changed in ({"shard_rows": 16, "shard_shingles": 2000}, {"shard_rows": 8, "split": 1, "hub_links": 4, "broadcast_keys": 0}):
         assert sorted(r.doc_id for r in neardup.deduplicate(df, neardup.DedupParams(**changed)).collect()) == sorted(set(low))
 
 
