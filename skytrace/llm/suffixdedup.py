@@ -145,13 +145,31 @@ def repeated_anchors(docs: DataFrame, length: int, shares: int, hot: int = HOT)
                 add(s, at, short[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
             yield pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(x, pa.large_binary()) for x in out[1:])], names=["share", "bits", "dkeys", "refs"])
 
+    names = ["hot", "bucket", "dkeys", "marks"]
+
     def marks(d: np.ndarray, o: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(d):
-            by = np.argsort(d, kind="stable")
-            d, o = d[by], o[by].astype("<u4")
-            cuts = np.append(np.flatnonzero(np.append(True, d[1:] != d[:-1])), len(d)).tolist()
-            found = pa.array([o[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.large_binary())
-            yield pa.record_batch([pa.array(np.zeros(len(cuts) - 1, bool)), pa.array(d[cuts[:-1]]), found], names=["hot", "dkey", "marks"])
+        """Packed by buckets of documents, so that rows don't grow with documents times shares."""
+        bucket = d % shares
+        by = np.argsort(bucket, kind="stable")
+        d, o, bucket = d[by], o[by].astype("<u4"), bucket[by]
+        cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(d)).tolist() if len(d) else [0]
+        pairs = list(zip(cuts, cuts[1:]))
+        columns = [pa.array([False] * len(pairs), pa.bool_()), pa.array([int(bucket[x]) for x, _ in pairs], pa.int64()), *(pa.array([v[x:y].tobytes() for x, y in pairs], pa.large_binary()) for v in (d, o))]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in grouped(batches):
+            told = [(k, m) for hot_, k, m in rows if hot_]
+            if told:
+                yield pa.record_batch([pa.array([True] * len(told)), pa.array([int.from_bytes(k, "little") for k, _ in told], pa.int64()), pa.array([[m] for _, m in told], pa.list_(pa.large_binary()))], names=["hot", "dkey", "marks"])
+            own = [(k, m) for hot_, k, m in rows if not hot_]
+            if own:
+                d, o = (np.concatenate([np.frombuffer(x[i], t) for x in own]) for i, t in ((0, "<i8"), (1, "<u4")))
+                by = np.argsort(d, kind="stable")
+                d, o = d[by], o[by]
+                cuts = np.append(np.flatnonzero(np.append(True, d[1:] != d[:-1])), len(d)).tolist()
+                lists = pa.array([[o[x:y].tobytes()] for x, y in zip(cuts, cuts[1:])], pa.list_(pa.large_binary()))
+                yield pa.record_batch([pa.array(np.zeros(len(cuts) - 1, bool)), pa.array(d[cuts[:-1]]), lists], names=["hot", "dkey", "marks"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches):
@@ -175,11 +193,12 @@ def repeated_anchors(docs: DataFrame, length: int, shares: int, hot: int = HOT)
             hit = np.flatnonzero((several | (slices_ > 1))[inverse] & (ref[:, 0] != NOBODY))
             yield from marks(d[hit], ref[hit, 1])
             for g, n in zip(known[slices_ > hot].tolist(), slices_[slices_ > hot].tolist()):
-                yield pa.record_batch([pa.array([True]), pa.array([g]), pa.array([int(n).to_bytes(8, "big")], pa.large_binary())], names=["hot", "dkey", "marks"])
+                yield pa.record_batch([pa.array([True]), pa.array([g % shares]), pa.array([int(g).to_bytes(8, "little")], pa.large_binary()), pa.array([int(n).to_bytes(8, "big")], pa.large_binary())], names=names)
 
     dealt = docs.select("text", "dkey").mapInArrow(deal, schema)
-    back = dealt.repartition(shares, "share").sortWithinPartitions("share").mapInArrow(find, "hot boolean, dkey long, marks binary")
-    return back.groupBy("hot", "dkey").agg(F.collect_list("marks").alias("marks"))
+    back = dealt.repartition(shares, "share").sortWithinPartitions("share").mapInArrow(find, "hot boolean, bucket long, dkeys binary, marks binary")
+    packed = back.select("bucket", "hot", "dkeys", "marks").repartition(shares, "bucket").sortWithinPartitions("bucket")
+    return packed.mapInArrow(unpack, "hot boolean, dkey long, marks array<binary>")
 
 
 def hot_grams(found: DataFrame, most: int = MOST_HOT) -> np.ndarray:
