@@ -48,6 +48,8 @@ class HtmlParams:
     share_in_article: float = 0.5
     share_in_body: float = 0.1
     shard_pages: int = 256
+    #: Pages that a task which ranks shards has in hand, about; tasks grow in number with the input, not in size (layout only).
+    task_pages: int = 2048
     #: Boilerplate substrings that are broadcast, at most; beyond that pages are joined with their host's (layout only).
     broadcast_rows: int = 2_000_000
 
@@ -240,6 +242,8 @@ def cleaned(pages: list[tuple[list[str], bool]], hosts: list[str], keys: np.ndar
 def boilerplate(rows: DataFrame, params: HtmlParams) -> DataFrame:
     """(host, key, strict): substrings that are boilerplate on their host, and whether they are inside articles too."""
     sizes = materialise(rows.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= params.min_pages), "hosts")
+    total = sizes.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]  # one value
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // params.task_pages))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, _ in tb.slices(batches, "html", 4 << 20):
@@ -259,7 +263,7 @@ def boilerplate(rows: DataFrame, params: HtmlParams) -> DataFrame:
         key = tb.mix(found[often] ^ host_key([host])[0])
         return pa.table({"host": pa.array([host] * len(key), pa.string()), "key": pa.array(key.view(np.int64)), "n": pa.array(pages[often])})
 
-    counts = dealt.groupBy("host", "shard").applyInArrow(count, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
+    counts = dealt.repartition(tasks, "host", "shard").groupBy("host", "shard").applyInArrow(count, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
     least = lambda share: F.greatest(F.lit(params.min_pages), F.ceil(F.col("pages") * share))
     found = counts.join(sizes, "host").where(F.col("n") >= least(params.share_in_body))
     return materialise(found.select("host", "key", (F.col("n") >= least(params.share_in_article)).alias("strict")), "boilerplate")

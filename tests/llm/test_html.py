@@ -75,7 +75,7 @@ def test_the_suffix_array_alone_decides(spark, tmp_path):
     df.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
     expected = {100 * s + i: t for s, x in enumerate(want) for i, t in enumerate(x)}
     assert {r.page_id: r.text for r in queries.op4_html_extraction(spark, str(tmp_path)).collect()} == expected
-    for changed in ({"broadcast_rows": 0}, {"shard_pages": 10}):
+    for changed in ({"broadcast_rows": 0}, {"shard_pages": 10}, {"shard_pages": 10, "task_pages": 3}):
         assert {r.page_id: r.text for r in html.extract(df, html.HtmlParams(**changed)).collect()} == expected
 
 
